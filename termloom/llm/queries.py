@@ -6,8 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import media, sharding
-from termloom.llm.common import read_table, text_batches
+from termloom.llm import media, packing, sharding, tokens
+from termloom.llm.common import read_table, scratch_path, text_batches
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return tokens.op5_query(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), scratch_path(spark, "token-counts"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +37,8 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op5_tokens": op5_tokens,
     "op6_sharding": op6_sharding,
     "op7_media": op7_media,
 }
