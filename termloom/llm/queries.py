@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import media, packing, sharding, tokens
+from termloom.llm import linededup, media, packing, sharding, tokens
 from termloom.llm.common import read_table, scratch_path, text_batches
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.op1_query(read_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_batches(spark)
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)
@@ -37,10 +41,13 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op5_tokens": op5_tokens,
     "op6_sharding": op6_sharding,
     "op7_media": op7_media,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_line_dedup": linededup.OP1_SQL,
+}
