@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import linededup, media, packing, sharding, tokens
+from termloom.llm import decontam, linededup, media, packing, sharding, tokens, toxicity
 from termloom.llm.common import read_table, scratch_path, text_batches
 
 
@@ -26,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return decontam.op3_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_batches(spark)
     return tokens.op5_query(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), scratch_path(spark, "token-counts"))
@@ -40,12 +45,19 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.op7_query(read_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return toxicity.op10_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op5_tokens": op5_tokens,
     "op6_sharding": op6_sharding,
     "op7_media": op7_media,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
