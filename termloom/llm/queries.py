@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import decontam, linededup, media, neardup, packing, sharding, tokens, toxicity
+from termloom.llm import decontam, linededup, lm, media, neardup, packing, sharding, tokens, toxicity
 from termloom.llm.common import read_table, scratch_path, text_batches
 
 
@@ -45,6 +45,11 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.op7_query(read_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
+    return lm.op8_query(read_table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_batches(spark)
     return neardup.op9_query(read_table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_tokens": op5_tokens,
     "op6_sharding": op6_sharding,
     "op7_media": op7_media,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_toxicity": op10_toxicity,
 }
