@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.llm import decontam, linededup, lm, media, neardup, packing, sharding, tokens, toxicity
+from termloom.llm import decontam, linededup, lm, media, neardup, packing, sharding, tokens, toxicity, warc
 from termloom.llm.common import read_table, scratch_path, text_batches
 
 
@@ -31,6 +31,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op3_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op4_query(read_table(spark, sf_dir, "pages"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_batches(spark)
     return tokens.op5_query(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), scratch_path(spark, "token-counts"))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_warc": op4_warc,
     "op5_tokens": op5_tokens,
     "op6_sharding": op6_sharding,
     "op7_media": op7_media,
@@ -74,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": linededup.OP1_SQL,
+    "op4_warc": warc.OP4_SQL,
 }
