@@ -31,8 +31,9 @@ PRIME = (1 << 31) - 1
 
 
 def _digest(id_col: str, text_col: str) -> Column:
-    """Identity of a row: its id and text."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("\u0000")), F.lit("\u0001"), F.col(text_col)).cast("binary")))
+    """Identity of a row: its id and text; never null, so joins add no filter and their shuffles of texts can be one."""
+    told = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("\u0000")), F.lit("\u0001"), F.coalesce(F.col(text_col), F.lit("\u0000")))
+    return F.coalesce(F.unhex(F.md5(told.cast("binary"))), F.lit(b""))
 
 
 def line_hash(line: Column) -> Column:
@@ -78,11 +79,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with repeated chunks gone from ``text_col``, and ``_ld_lines``, ``_ld_removed``: lines before, lines removed."""
     cut = written(chunks(docs, id_col, text_col), "line-chunks")
     again = cut.groupBy("_ld_key").agg(F.count(F.lit(1)).alias("_ld_n")).where("_ld_n > 1").select("_ld_key")
-    wanted = cut.join(again, "_ld_key").groupBy("_ld_row", "_ld_id").agg(F.collect_list(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_key").alias("k"))).alias("_ld_spans"))
+    wanted = cut.join(again, "_ld_key").groupBy("_ld_row").agg(F.collect_list(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_key").alias("k"))).alias("_ld_spans"))
     keyed = docs.withColumn("_ld_row", _digest(id_col, text_col))
     lines = F.split(text_col, "\n", -1)
-    # One text of rows equal in id and text is enough here too.
-    bytes_ = keyed.select("_ld_row", F.col(text_col).alias("_ld_text")).join(wanted, "_ld_row").select("_ld_row", "_ld_id", F.split("_ld_text", "\n", -1).alias("_ld_all"), F.explode("_ld_spans").alias("s"))
+    # With the id taken from here, this join and the last one shuffle the same columns: Spark then does it once.
+    bytes_ = keyed.join(wanted, "_ld_row").select("_ld_row", F.col(id_col).alias("_ld_id"), lines.alias("_ld_all"), F.explode("_ld_spans").alias("s"))
     bytes_ = bytes_.select("_ld_row", "_ld_id", F.col("s.k").alias("_ld_key"), F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.array_join(F.slice("_ld_all", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1), "\n").alias("_ld_bytes"))
     place = F.struct(F.col("_ld_id"), F.col("_ld_row"), F.col("_ld_from"))
     first = bytes_.groupBy("_ld_key", "_ld_bytes").agg(F.min(place).alias("_ld_first"))
