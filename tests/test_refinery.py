@@ -1,0 +1,206 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from termloom.operators import classify, extract, gold, learning, platinum, quality, recall, tables, workflow
+from termloom.schemas import TABLES, ddl, silver_rules, split_valid
+from termloom.sources import bronze
+from termloom.sources.store import SnapshotTable, append_log, latest_stage, read_json, write_json, write_stage
+
+TEXT = """Collateral Eligibility Schedule
+Eligible Collateral
+Counterparty: First Bank
+Agreement ID: A-1
+Schedule Version: 2
+Margin Type: vm
+Valid From: 2026-07-01
+Asset: US Treasuries | Eligible: yes | Haircut: 2% | Currencies: usd, eur | Tenor Cap Days: 365
+Asset: Equities | Eligible: Y | Haircut: 150%
+"""
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([("d1", TEXT), ("d2", "nothing here"), ("d3", TEXT + "Counterparty: Second\n")], "doc_id string, text string")
+
+
+def test_classify(spark, docs):
+    got = {r.doc_id: r for r in classify.classify(docs).collect()}
+    assert (got["d1"].doc_class, round(got["d1"].confidence, 6), got["d1"].review_required, got["d1"].profile) == (classify.ELIGIBILITY, 0.8, False, "normalized")
+    assert got["d2"].doc_class == "unknown" and got["d2"].review_required
+    public = spark.createDataFrame([("CME Group\nAcceptable Performance Bond Collateral\nHaircut Schedule",)], "text string")
+    assert classify.classify(public).first().profile == "cme"
+
+
+def test_extract_and_validate(docs):
+    rows = extract.extract(docs)
+    assert rows.groupBy("doc_id").count().orderBy("doc_id").collect() == [("d1", 28), ("d3", 28)]
+    assert [r.doc_id for r in extract.extract_errors(docs).collect()] == ["d2"]
+    v = {(r.doc_id, r.field_path): r for r in extract.validate(docs, rows).collect()}
+    assert v["d1", "eligibility[0].currency_scope"].normalized_value == "USD,EUR"
+    assert v["d1", "eligibility[0].margin_type"].normalized_value == "VM"
+    assert v["d1", "eligibility[0].valid_to"].value_type == "not_found" and v["d1", "eligibility[0].valid_to"].validator_status == "confirmed"
+    assert v["d1", "eligibility[1].haircut_pct"].validator_status == "disputed"
+    # Two headers: the extractor takes the last, the second derivation the first.
+    assert v["d3", "eligibility[0].counterparty"].normalized_value == "Second"
+    assert v["d3", "eligibility[0].counterparty"].validator_status == "disputed"
+
+
+def test_promotion_and_errors(docs):
+    v = extract.validate(docs, extract.extract(docs))
+    terms = gold.promote_eligibility(v).collect()
+    assert [(t.doc_id, t.idx, t.eligible, t.haircut_pct, t.currency_scope) for t in terms] == [("d1", 0, True, 2.0, ["USD", "EUR"])]
+    assert len(terms[0].silver_extraction_ids) == 14 and terms[0].silver_extraction_ids == sorted(terms[0].silver_extraction_ids)
+    errors = {(r.doc_id, r.idx): r.error for r in gold.eligibility_groups(v).where("error is not null").collect()}
+    assert errors == {("d1", 1): "unsettled", ("d3", 0): "unsettled", ("d3", 1): "unsettled"}
+    twice = v.where("doc_id = 'd1' and field_path like 'eligibility[0]%'")
+    assert gold.eligibility_groups(twice.unionByName(twice.where("field_path like '%asset_criterion'"))).first().error == "duplicate_field"
+
+
+def test_versions_close_and_as_of(spark):
+    ts = lambda d: dt.datetime(2026, 7, d)
+    rows = spark.createDataFrame([("a", None, ts(1)), ("a", None, ts(5)), ("b", "x", ts(2)), ("b", "x", ts(2))], "k string, j string, knowledge_from timestamp")
+    good, bad = gold.close_versions(rows, ["k", "j"])
+    assert sorted((r.knowledge_from, r.knowledge_to) for r in good.collect()) == [(ts(1), ts(5)), (ts(5), None)]
+    assert bad.count() == 2
+    assert [r.knowledge_from for r in gold.as_of(good, F.lit(ts(5))).collect()] == [ts(5)]
+    assert [r.knowledge_from for r in gold.active(good).collect()] == [ts(5)]
+
+
+def test_snapshot_store(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), "k string, knowledge_from timestamp, knowledge_to timestamp")
+    assert t.read().count() == 0
+    one = spark.createDataFrame([("a", dt.datetime(2026, 7, 1), None)], t.schema)
+    t.upsert(one, ["k"])
+    t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, 5), None)], t.schema), ["k"])
+    assert t.version() == 1 and t.read(0).count() == 1
+    assert sorted(r.knowledge_to is None for r in t.read().collect()) == [False, True]
+    with pytest.raises(ValueError, match="later"):
+        t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, 5), None)], t.schema), ["k"])
+
+
+def test_stages_logs_json(spark, tmp_path):
+    rows = spark.createDataFrame([("d1", "c", 1), ("d2", "c", 2)], "doc_id string, doc_class string, v int")
+    path = str(tmp_path / "s")
+    write_stage(rows, path, "validated")
+    write_stage(rows.where("doc_id = 'd1'").withColumn("v", F.lit(9)), path, "reviewed")
+    got = {(r.doc_id, r.v) for r in latest_stage(spark.read.parquet(path)).collect()}
+    assert got == {("d1", 9), ("d2", 2)}
+    with pytest.raises(ValueError, match="no silver"):
+        write_stage(rows.where("false"), path, "validated")
+    append_log(rows, str(tmp_path / "log"))
+    append_log(rows, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
+    write_json(rows, str(tmp_path / "j"))
+    assert read_json(spark, str(tmp_path / "j"), "doc_id string, doc_class string, v int").count() == 2
+
+
+def test_landing_and_ingest(spark, tmp_path):
+    for name, body in (("a.txt", "x"), ("b.md", "x"), ("README.md", "r"), (".hidden.txt", "h"), ("c.csv", "c"), ("d.PDF", "p")):
+        (tmp_path / name).write_text(body)
+    files = bronze.landing(spark, str(tmp_path))
+    assert sorted(r.path.rsplit("/", 1)[1] for r in files.collect()) == ["a.txt", "b.md", "d.PDF"]
+    got = bronze.ingest(files, "content", "received_at").collect()
+    assert sorted(r.n_received for r in got) == [1, 2] and all(r.doc_id.startswith("doc-") and len(r.doc_id) == 28 for r in got)
+
+
+def test_layout(spark):
+    d = spark.createDataFrame([("d", "a b\n\nc\f\fz")], "doc_id string, text string")
+    got = [(r.page, r.line, r.n_tokens) for r in bronze.layout_lines(d).orderBy("page", "line").collect()]
+    assert got == [(1, 1, 2), (1, 2, 0), (1, 3, 1), (3, 1, 1)]
+    q = bronze.layout_quality(d).first()
+    assert (q.n_pages, q.n_lines, q.status, q.issues) == (3, 4, "failed", "blank_page")
+
+
+def test_line_clustering_is_a_loop(spark):
+    rng = random.Random(1)
+    words = [(p, f"w{i}", rng.random() * 50, y := rng.random() * 60, 0.0, y + 4, 0.5) for p in range(6) for i in range(20)]
+    df = spark.createDataFrame(words, "page int, text string, x0 double, y0 double, x1 double, y1 double, confidence double")
+    got = {(r.page, r.line): r.text for r in bronze.clustered_lines(df, "page").collect()}
+    want = {}
+    for p in range(6):
+        lines, cur = [], []
+        for w in sorted((w for w in words if w[0] == p), key=lambda w: ((w[3] + w[5]) / 2, w[2])):
+            c = (w[3] + w[5]) / 2
+            if cur and abs(c - sum((x[3] + x[5]) / 2 for x in cur) / len(cur)) > 6:
+                lines.append(cur)
+                cur = []
+            cur.append(w)
+        lines.append(cur)
+        want |= {(p, i + 1): " ".join(w[1] for w in sorted(line, key=lambda w: w[2])) for i, line in enumerate(lines)}
+    assert got == want
+
+
+def test_percent_table(spark):
+    text = "Start\nSecurity Type Remaining Maturity Haircut\nTreasury Bills\nwith short terms\n0-1 2%\nAgency Debentures 5.5%\nZ 7%\nend here\n9%"
+    d = spark.createDataFrame([("d", text)], "doc_id string, text string")
+    got = [(r.entry, r.description, r.haircut) for r in tables.percent_entries(d, tables.section(F.col("text"), "Security", "end here")).orderBy("entry").collect()]
+    assert got == [(1, "Treasury Bills with short terms 0-1", "2"), (2, "Agency Debentures", "5.5"), (3, "Agency Debentures Z", "7")]
+
+
+def test_reindexed(spark):
+    d = spark.createDataFrame([("limit[2].x[1]", 5), ("plain", 5)], "p string, n int")
+    assert [r[0] for r in d.select(tables.reindexed(F.col("p"), F.col("n"))).collect()] == ["limit[7].x[1]", "plain"]
+
+
+def test_wildcards_equal_theta_join(spark):
+    rng = random.Random(2)
+    pick = lambda n: rng.choice([None, *"abcd"[:n]])
+    keys = spark.createDataFrame({(pick(4), pick(4)) for _ in range(30)}, "counterparty string, agreement_id string")
+    rows = spark.createDataFrame([(pick(4), pick(4), i) for i in range(60)], "counterparty string, agreement_id string, id int")
+    r = rows.withColumnsRenamed({"counterparty": "c", "agreement_id": "a"})
+    theta = keys.crossJoin(r).where("(c is null or c = counterparty) and (a is null or a = agreement_id)").select("counterparty", "agreement_id", "id")
+    got = platinum.wildcard_join(keys, rows)
+    assert sorted(map(str, got.collect())) == sorted(map(str, theta.collect()))
+
+
+def test_corrections(spark, docs):
+    rows = extract.extract(docs).where("doc_id = 'd1'")
+    ids = [r.extraction_id for r in rows.orderBy("field_path").limit(3).collect()]
+    req = spark.createDataFrame([(ids[0], "correct", "X", "me"), (ids[1], "dispute", None, "me"), ("none", "confirm", None, "me"), (ids[2], "correct", None, "me"), (ids[1], "confirm", None, "me")], "extraction_id string, action string, new_value string, reviewer string")
+    codes = {(r.extraction_id, r.code) for r in learning.correction_errors(rows, req).collect()}
+    assert codes == {("none", "unknown_extraction"), (ids[1], "duplicate_request"), (ids[2], "missing_value")}
+    out = {r.extraction_id: r for r in learning.apply_corrections(rows, req.limit(2)).collect()}
+    assert (out[ids[0]].validator_status, out[ids[0]].corrected_value, out[ids[0]].corrected_by) == ("corrected", "X", "me")
+    assert out[ids[1]].validator_status == "disputed" and out[ids[2]].validator_status == "pending"
+
+
+def test_rules_of_silver(docs):
+    rows = extract.extract(docs)
+    good, bad = split_valid(rows.withColumn("confidence", F.when(F.col("field_path").contains("eligible"), 2.0).otherwise(F.col("confidence"))), silver_rules())
+    assert {r.rule for r in bad.collect()} == {"confidence_range"} and good.count() + bad.count() == rows.count()
+    assert all(ddl(n).startswith("CREATE TABLE") for n in TABLES)
+
+
+def test_quality_of_nothing(spark):
+    none = spark.createDataFrame([], "case_id string, field_path string, expected string, actual string, locator string")
+    r = quality.accuracy(none, []).first()
+    assert (r.n, r.accuracy) == (0, 0.0)
+    assert quality.release_gate(none, F.lit(True)).first().ready is False
+    assert "<ul>" in quality.dashboard_html(spark, extract.extract(spark.createDataFrame([], "doc_id string, text string")))
+
+
+def test_states_fold_is_a_loop(spark):
+    rng = random.Random(3)
+    rows = [(k, i, rng.choice(workflow.STATES[:4] + ["failed"])) for k in range(20) for i in range(12)]
+    got = {r.k: (r.state, r.refused) for r in workflow.folded_states(spark.createDataFrame(rows, "k int, i int, s string"), "k", "i", "s").collect()}
+    for k in range(20):
+        state, refused = "", 0
+        for _, _, s in [r for r in rows if r[0] == k]:
+            if (state, s) in workflow.STEPS or (state, s) == ("", "landed"):
+                state = s
+            else:
+                refused += 1
+        assert got[k] == (state, refused)
+
+
+def test_recall(spark):
+    p = spark.createDataFrame([(0.0999,), (0.1,), (0.25,), (0.5,), (1.1,), (None,)], "p double")
+    assert [r[0] for r in p.select(recall.band(F.col("p"))).collect()] == ["LOW", "MODERATE", "HIGH", "CRITICAL", None, None]
+    loans = spark.createDataFrame([(1,)], "loan int")
+    got = recall.predictions(loans, {1: F.lit(0.12), 3: F.lit(0.27), 5: F.lit(0.41), 10: F.lit(0.63)}, F.array(F.lit("A"))).first()
+    assert (got.band, got.reasons.split(",")[0], len(got.reasons.split(","))) == ("CRITICAL", "A", 3)
+    with pytest.raises(ValueError, match="horizons"):
+        recall.predictions(loans, {1: F.lit(0.1)}, F.array())
