@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 KEPT_WORDS = 500_000
 FIRST_WORDS = 100_000
 MARK = "▁"
-#: Letters, digits and signs below U+0250: each is one composed character, and lower-cases by itself.
-PLAIN_WORD = regex.compile("[!-~\u00a1-\u024f]+")
+#: Letters, digits and signs below U+0250: each is one composed character, and lower-cases to another (but for U+0130, to two).
+PLAIN_WORD = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
 
 
 def new_words(seen: dict, split: list[list[str]]) -> list[str]:
