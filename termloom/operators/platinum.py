@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Parts that keys are spread over where a row fits all of them.
+SALTS = 16
+
 
 def agreement_keys(terms: DataFrame, limits: DataFrame, margins: DataFrame) -> DataFrame:
     """(counterparty, agreement_id) that terms, margins, or limits with a counterparty name; where there is none but limits, one of nulls."""
@@ -16,13 +19,14 @@ def wildcard_join(keys: DataFrame, rows: DataFrame) -> DataFrame:
     """Keys with the rows whose counterparty and agreement are equal or null.
 
     A condition with OR would compare all with all; each pattern of nulls is an equi-join of its own.
-    Rows without either fit every key: they are joined on a constant, broadcast only if Spark finds them small.
+    Rows without either fit every key: each is copied to every salt, and keys are spread over the salts.
     """
     r = rows.withColumnsRenamed({"counterparty": "_c", "agreement_id": "_a"})
     both = keys.join(r.where("_c is not null and _a is not null"), (F.col("counterparty") == F.col("_c")) & (F.col("agreement_id") == F.col("_a")))
     cp = keys.join(r.where("_c is not null and _a is null"), F.col("counterparty") == F.col("_c"))
     ag = keys.join(r.where("_c is null and _a is not null"), F.col("agreement_id") == F.col("_a"))
-    any_ = keys.withColumn("_k", F.lit(1)).join(r.where("_c is null and _a is null").withColumn("_k2", F.lit(1)), F.col("_k") == F.col("_k2")).drop("_k", "_k2")
+    spread = keys.withColumn("_k", F.pmod(F.xxhash64("counterparty", "agreement_id"), F.lit(SALTS)).cast("int"))
+    any_ = spread.join(r.where("_c is null and _a is null").withColumn("_k2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), F.col("_k") == F.col("_k2")).drop("_k", "_k2")
     return both.unionByName(cp).unionByName(ag).unionByName(any_).drop("_c", "_a")
 
 
