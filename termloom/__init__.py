@@ -1,3 +1,3 @@
-"""termloom: lineage-first document refinery and corpus operators on Spark DataFrames."""
+"""termloom: lineage-first document tables and corpus operators on Spark DataFrames."""
 
 __version__ = "0.1.0"

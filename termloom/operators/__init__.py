@@ -1 +1 @@
-"""Operators of the refinery."""
+"""Operators of the engine."""

@@ -1 +1 @@
-"""Plans of the refinery."""
+"""Plans of the engine."""

@@ -1,4 +1,4 @@
-"""The refinery's queries over the star-schema tables, each beside its SQL."""
+"""The engine's queries over the star-schema tables, each beside its SQL."""
 
 from __future__ import annotations
 

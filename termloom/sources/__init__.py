@@ -1 +1 @@
-"""Sources of the refinery."""
+"""Sources of the engine."""

@@ -1 +1 @@
-"""Streaming of the refinery."""
+"""Streaming of the engine."""

@@ -1,5 +1,5 @@
 from termloom import cli
-from test_refinery import TEXT
+from test_engine import TEXT
 
 
 def test_ddl(capsys):
