@@ -452,6 +452,29 @@ def test_op9_equals_brute_force(spark, odd, empty):
     assert neardup.op9_query(empty).count() == 0 and neardup.keep_one(empty).count() == 0
 
 
+def test_op9_links_to_members_that_do_not_lead(spark):
+    """A tight group, and a text that is a link of one of its members only."""
+    rng, rows, alone = random.Random(11), [], 0
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(220)]
+        copies = [base] + [[*base[:k], f"g{g}c{k}", *base[k + 1 :]] for k in range(20, 200, 20)]
+        member = [*base[:105], f"g{g}m", *base[106:]]
+        z, places = member[:], [k for k in range(220) if abs(k - 105) > 9]
+        rng.shuffle(places)
+        for k in places:
+            more = [*z[:k], f"g{g}z{k}", *z[k + 1 :]]
+            if plain_similarity(plain_units(" ".join(more)), plain_units(" ".join(member))) < 0.8:
+                continue
+            z = more
+        near = [plain_similarity(plain_units(" ".join(z)), plain_units(" ".join(x))) for x in (member, *copies)]
+        assert near[0] >= 0.8
+        alone += max(near[1:]) < 0.8
+        rows += [(1000 * g + i, " ".join(x)) for i, x in enumerate([*copies, member, z])]
+    assert alone >= 6
+    got = Counter((r.doc_id, r.class_id) for r in neardup.op9_query(table(spark, rows)).collect())
+    assert got == Counter((d, d // 1000 * 1000) for d, _ in rows)
+
+
 def test_op9_alignment():
     rng = random.Random(3)
     for _ in range(1500):
