@@ -5,8 +5,13 @@ those, so words at the others may differ. Hashes of every window of every
 benchmark item and of every whole document are joined; around each hit the item
 is laid on the document word by word, and the overlap counts where it is the
 item's whole length, or a stretch of at least ``min_words``, with at least
-``identity`` of its words equal. Items shorter than the masks must stand in a
-document as they are.
+``identity`` of its words equal.
+
+No such overlap is without a hit, for the defaults: a stretch of 26 words or more has a
+half of at least 13 that is as much alike, and in 13 to 25 words with at most a fifth
+of them changed some mask fits at some place, whichever words changed (tests try all).
+Items of fewer words have masks of their own length that leave out every choice of as
+many words as may differ.
 
 The benchmark is cut into blocks of a bounded number of words; each block's index
 is broadcast, and every block meets every document, so its size is no limit.
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +35,23 @@ from pyspark.sql import functions as F
 
 from termloom.llm.words import BASE, Words, mixed, slabs, words_of
 
-#: Fixed masks; 1: the word counts, 0: any word.
-MASKS = ("111010010111", "110110101101", "101100110111")
-#: Words of the benchmark that one broadcast index may hold: about 30 MB of arrays.
+#: Fixed masks; 1: the word counts, 0: any word. Together they hit every pattern of changes that IDENTITY allows in MIN_WORDS words or more.
+MASKS = ("11101111", "11010010111", "111110011", "1100100010111", "1110101001001", "1111111")
+#: Words of the benchmark that one broadcast index may hold: about 65 MB of arrays.
 BLOCK_WORDS = 400_000
 IDENTITY = 0.8
 MIN_WORDS = 13
+#: Bits of a hash that the table of known ones takes, at most.
 _BITS = 22
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks for a whole item of ``n`` words, under MIN_WORDS: every choice of as many words as IDENTITY lets differ is left out by one."""
+    may = round((1 - IDENTITY) * 1000) * n // 1000
+    parts = np.arange(n) if may < 2 else np.arange(n) * (2 * may + 1) // n
+    return ["".join("0" if p in out else "1" for p in parts) for out in combinations(range(parts[-1] + 1), may)]
+
+
 def _mask_hashes(h: np.ndarray, mask: str) -> np.ndarray:
     """The hash of every window of words under a mask."""
     n = len(h) - len(mask) + 1
@@ -59,24 +73,26 @@ class Index:
     ids: list
     words: np.ndarray
     first: np.ndarray
-    masks: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]
+    masks: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.uint64]]
 
 
 def build_index(ids: list, texts: list[str | None]) -> Index:
     w = words_of(texts)
     h, sizes = w.hashes(), np.diff(w.first)
-    span = len(MASKS[0])
+    lengths = sorted({int(n) for n in sizes if n > 0})
     masks = []
-    for mask in (*MASKS, *("1" * n for n in sorted({int(n) for n in sizes if 0 < n < span}))):
+    for mask, short in (*((m, False) for m in MASKS if lengths and lengths[-1] >= MIN_WORDS), *((m, True) for n in lengths if n < MIN_WORDS for m in short_masks(n))):
         found = _mask_hashes(h, mask)
         at = np.arange(len(found))
         own = w.owner[: len(found)]
-        whole = (at + len(mask) <= w.first[own + 1]) & ((len(mask) == sizes[own]) if len(mask) < span else True)
+        whole = (at + len(mask) <= w.first[own + 1]) & (len(mask) == sizes[own] if short else sizes[own] >= MIN_WORDS)
         at = at[whole]
         at = at[np.argsort(found[at], kind="stable")]
-        known = np.zeros(1 << _BITS, bool)
-        known[(found[at] >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        masks.append((mask, found[at], at, known))
+        bits = min(_BITS, (8 * len(at)).bit_length() + 2)
+        shift = np.uint64(64 - bits)
+        known = np.zeros(1 << bits, bool)
+        known[(found[at] >> shift).astype(np.int64)] = True
+        masks.append((mask, found[at], at, known, shift))
     return Index(ids, h, w.first, masks)
 
 
@@ -101,11 +117,11 @@ def search(index: Index, w: Words, identity: float = IDENTITY, min_words: int =
     """Matches of a batch: text, item, first word in the text, first word in the item, words, equal words."""
     h = w.hashes()
     owners, docs, items = [], [], []
-    for mask, hashes, places, known in index.masks:
+    for mask, hashes, places, known, shift in index.masks:
         found = _mask_hashes(h, mask)
         if not len(found) or not len(hashes):
             continue
-        may = np.flatnonzero(known[(found >> np.uint64(64 - _BITS)).astype(np.int64)])
+        may = np.flatnonzero(known[(found >> shift).astype(np.int64)])
         lo, hi = np.searchsorted(hashes, found[may]), np.searchsorted(hashes, found[may], "right")
         may, lo, n = may[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
         inside = may + len(mask) <= w.first[w.owner[may] + 1]

@@ -1,6 +1,7 @@
 """Corpus operators against brute force, on odd rows, and against SQL."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -186,6 +187,27 @@ def test_op3_finds_copies_and_substitutions(spark, odd, empty):
     assert decontam.clean(odd, bench(spark, [])).columns == odd.columns
 
 
+def test_op3_masks_hit_every_pattern():
+    """No choice of at most a fifth of the words, changed, escapes: in whole items of 1 to 12 words, and in stretches of 13 to 25."""
+    for n in range(1, 26):
+        masks = decontam.MASKS if n >= 13 else decontam.short_masks(n)
+        fits = [sum(1 << (at + k) for k, c in enumerate(m) if c == "1") for m in masks for at in range(n - len(m) + 1)]
+        for out in itertools.combinations(range(n), n // 5):
+            changed = sum(1 << k for k in out)
+            assert any(f & changed == 0 for f in fits), (n, out)
+
+
+def test_op3_finds_every_pattern_of_a_short_item():
+    for n in (5, 11, 12, 13, 15):
+        item = [f"w{k}" for k in range(n)]
+        texts = [" ".join(["before", *("x" if k in out else w for k, w in enumerate(item)), "after"]) for out in itertools.combinations(range(n), n // 5)]
+        index = decontam.build_index([1], [" ".join(item)])
+        assert {m[0] for m in decontam.search_texts(index, texts)} == set(range(len(texts)))
+        # One change more: no overlap, unless the item is so long that a part of it counts.
+        over = " ".join("x" if k <= n // 5 else w for k, w in enumerate(item))
+        assert n > 13 or decontam.search_texts(index, [over]) == []
+
+
 def test_op3_equals_brute_force(spark, small):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     b = [(r.item_id, r.text) for r in items.collect()]
