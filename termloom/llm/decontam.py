@@ -97,15 +97,19 @@ def build_index(ids: list, texts: list[str | None]) -> Index:
 
 
 def _best(same: np.ndarray, identity: float, min_words: int, whole: bool) -> tuple[int, int] | None:
-    """The stretch of an overlap that counts: all of it if it is the item's length and alike, else the best stretch."""
+    """The stretch of an overlap that counts: all of it if it is the item's length and alike, else the best stretch of at least ``min_words``."""
     if whole and same.mean() >= identity:
         return 0, len(same)
-    # Equal words count so that a stretch's sum is positive where over ``identity`` of it is equal.
+    if len(same) < max(min_words, 1):
+        return None
+    # Equal words count so that a stretch's sum is 0 or more where at least ``identity`` of it is equal.
     sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - identity, -identity))])
-    gain = sums - np.minimum.accumulate(sums)
-    end = int(gain.argmax())
-    start = int(sums[: end + 1].argmin())
-    return (start, end) if end - start >= min_words else None
+    # Each end's best start among those at least ``min_words`` before it.
+    gain = sums[min_words:] - np.minimum.accumulate(sums[: len(sums) - min_words])
+    at = int(gain.argmax())
+    if gain[at] < -1e-9:
+        return None
+    return int(sums[: at + 1].argmin()), at + min_words
 
 
 def search_texts(index: Index, texts: list[str | None], identity: float = IDENTITY, min_words: int = MIN_WORDS) -> list[tuple]:

@@ -208,6 +208,23 @@ def test_op3_finds_every_pattern_of_a_short_item():
         assert n > 13 or decontam.search_texts(index, [over]) == []
 
 
+def test_op3_stretch_equals_all_stretches():
+    """A stretch is found where one of all stretches of 13 words or more is alike."""
+    rng = random.Random(12)
+    cases = [[True] * 12 + [False] + [True] * 3 + [False] * 14] + [[rng.random() < rng.choice((0.5, 0.7, 0.8, 0.9)) for _ in range(rng.randint(1, 45))] for _ in range(1500)]
+    for same in cases:
+        alike = {(a, b) for a in range(len(same)) for b in range(a + 13, len(same) + 1) if 5 * sum(same[a:b]) >= 4 * (b - a)}
+        got = decontam._best(np.array(same), 0.8, 13, False)
+        assert got in alike if alike else got is None
+
+
+def test_op3_finds_a_stretch_with_a_change_near_its_end():
+    item = [f"w{k}" for k in range(30)]
+    text = " ".join([*item[:12], "x", *item[13:16], "other", "words", "come", "then"])
+    got = decontam.search_texts(decontam.build_index([1], [" ".join(item)]), [text])
+    assert len(got) == 1 and got[0][4] >= 13 and got[0][5] / got[0][4] >= 0.8
+
+
 def test_op3_equals_brute_force(spark, small):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     b = [(r.item_id, r.text) for r in items.collect()]
