@@ -87,6 +87,9 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank"
     )
 
 
-def clear_of(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """Only the named columns: extra columns, whatever their names, cannot clash with an operator's own."""
-    return df.select(*wanted)
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted`` as a column's name that no column of ``taken`` has, in whatever case."""
+    name, held = f"_{wanted}", {x.lower() for x in taken}
+    while name.lower() in held:
+        name += "_"
+    return name

@@ -426,9 +426,8 @@ def test_op8_model_learns_and_sums_to_one():
 # op 9
 
 
-def plain_units(text):
-    w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
-    return [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else []
+def plain_words(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
 
 
 def plain_similarity(a, b):
@@ -442,9 +441,9 @@ def plain_similarity(a, b):
 
 
 def plain_classes(rows):
-    """Least id of each component over links of 0.8 or more, and equal texts."""
+    """Least id of each component over links of 0.8 or more that share half of their distinct words, and equal texts."""
     texts = sorted({t or "" for _, t in rows})
-    units = {t: plain_units(t) for t in texts}
+    units = {t: plain_words(t) for t in texts}
     root = {t: t for t in texts}
 
     def find(x):
@@ -456,7 +455,8 @@ def plain_classes(rows):
         for b in texts[:i]:
             ca, cb = Counter(units[a]), Counter(units[b])
             m = sum((ca & cb).values())
-            if m and m >= 0.8 * (len(units[a]) + len(units[b]) - m) and plain_similarity(units[a], units[b]) >= 0.8:
+            both, all_ = len(ca.keys() & cb.keys()), len(ca.keys() | cb.keys())
+            if m and 2 * both >= all_ and m >= 0.8 * (len(units[a]) + len(units[b]) - m) and plain_similarity(units[a], units[b]) >= 0.8:
                 root[find(a)] = find(b)
     ids = defaultdict(list)
     for d, t in rows:
@@ -502,10 +502,10 @@ def test_op9_links_to_members_that_do_not_lead(spark):
         rng.shuffle(places)
         for k in places:
             more = [*z[:k], f"g{g}z{k}", *z[k + 1 :]]
-            if plain_similarity(plain_units(" ".join(more)), plain_units(" ".join(member))) < 0.8:
+            if plain_similarity(plain_words(" ".join(more)), plain_words(" ".join(member))) < 0.8:
                 continue
             z = more
-        near = [plain_similarity(plain_units(" ".join(z)), plain_units(" ".join(x))) for x in (member, *copies)]
+        near = [plain_similarity(plain_words(" ".join(z)), plain_words(" ".join(x))) for x in (member, *copies)]
         assert near[0] >= 0.8
         alone += max(near[1:]) < 0.8
         rows += [(1000 * g + i, " ".join(x)) for i, x in enumerate([*copies, member, z])]
@@ -523,7 +523,63 @@ def test_op9_alignment():
             k = rng.randrange(len(b)) if b else 0
             b[k : k + 1] = rng.choice([[], [99], [77, 78]])
         s = plain_similarity(a, b)
+        if 2 * len(set(a) & set(b)) < len(set(a) | set(b)):
+            s = 0
         assert neardup.similarity(np.array(a, np.uint32), np.array(b, np.uint32)) == pytest.approx(s if s >= 0.8 else 0)
+    # More rows than one table of places serves, and words by place tables of both kinds.
+    for n in (700, 6000):
+        a = [rng.randint(0, 400) for _ in range(n)]
+        b = a[:]
+        for _ in range(n // 20):
+            k = rng.randrange(len(b))
+            b[k : k + 1] = rng.choice([[], [rng.randint(0, 400)], [401, 402]])
+        assert neardup._common(np.array(a), np.array(b), len(b)) >= neardup._common(np.array(a), np.array(b), n // 9)
+        assert neardup.similarity(np.array(a), np.array(b)) == pytest.approx(plain_similarity(a, b) if n < 1000 else neardup._common(np.array(a), np.array(b), len(b)) / (len(a) + len(b) - neardup._common(np.array(a), np.array(b), len(b))))
+
+
+def test_op9_finds_links_by_number_of_edits():
+    """Of pairs that are links, the share with a key in common whose word bits pass, for texts of 60 to 800 words."""
+    rng = random.Random(17)
+    for n, edits in ((60, 3), (60, 6), (200, 10), (200, 20), (800, 40), (800, 80)):
+        found = total = 0
+        for _ in range(60):
+            a = [f"w{rng.randint(0, 3000)}" for _ in range(n)]
+            b = a[:]
+            for k in rng.sample(range(n), edits):
+                b[k] = f"new{rng.randint(0, 10**6)}"
+            if not neardup.similarity(np.array([hash(x) & 0xFFFFFFFF for x in a], np.uint32), np.array([hash(x) & 0xFFFFFFFF for x in b], np.uint32)):
+                continue
+            total += 1
+            keys, _, bits = neardup.sketches([" ".join(a), " ".join(b)])
+            apart = [int(x).bit_count() for x in (bits[0] ^ bits[1])]
+            found += bool((keys[0] == keys[1]).any()) and apart[0] + apart[1] <= neardup.BITS_APART[0] and apart[2] + apart[3] <= neardup.BITS_APART[1]
+        assert total >= 50 and found >= 0.9 * total, (n, edits, found, total)
+
+
+def test_op9_repeated_words_are_no_likeness(spark):
+    """Texts that only share a pair of words said hundreds of times aren't copies; a deal of large keys loses no link."""
+    rng = random.Random(21)
+    said = " ".join(["so it"] * 300)
+    own = [[f"t{i}w{k}" for k in range(80)] for i in range(40)]
+    rows = [(i, " ".join(own[i]) + " " + said) for i in range(40)]
+    rows += [(100 + i, " ".join([*own[i][:40], f"c{i}", *own[i][41:]]) + " " + said) for i in range(40)]
+    rng.shuffle(rows)
+    want = Counter((d, d % 100) for d, _ in rows)
+    got = neardup.op9_query(table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == want
+    assert {(r.class_docs, r.class_texts) for r in got} == {(2, 2)}
+
+
+def test_op9_large_keys_are_dealt_again(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "DEALT", 4)
+    rng = random.Random(5)
+    shared = " ".join(f"s{k}" for k in range(70))
+    rows = []
+    for i in range(60):
+        own = [f"t{i}w{rng.randint(0, 10**6)}" for _ in range(40)]
+        rows += [(i, shared + " " + " ".join(own)), (100 + i, shared + " " + " ".join([*own[:9], "x", *own[10:]]))]
+    got = Counter((r.doc_id, r.class_id) for r in neardup.op9_query(table(spark, rows)).collect())
+    assert got == Counter((d, d % 100) for d, _ in rows) == plain_classes(rows)
 
 
 def test_op9_components(spark):
