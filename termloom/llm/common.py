@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 
 #: Rows of an Arrow batch that carries texts; keeps a Python worker's batch in the low megabytes.
 TEXT_BATCH_ROWS = 256
+#: A key with more than this share of all rows is hot.
+HOT_SHARE = 1 / 5000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +89,17 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank"
     )
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int) -> DataFrame:
+    """``rows`` joined with ``groups``, which has one row a key with the number of its rows (``size``).
+
+    Keys of more than 1 in 5,000 of all rows are fewer than 5,000, so they are broadcast and
+    their rows stay where they are; the others are joined as Spark sees fit, none of them large.
+    """
+    hot = groups.where(F.col(size) > n_rows * HOT_SHARE)
+    usual = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= n_rows * HOT_SHARE), key)
+    return usual.unionByName(rows.join(F.broadcast(hot), key))
+
+
 def free_name(taken: list[str], wanted: str) -> str:
     """``wanted`` as a column's name that no column of ``taken`` has, in whatever case."""
     name, held = f"_{wanted}", {x.lower() for x in taken}
