@@ -1,13 +1,20 @@
 """Removal of repeated multi-line chunks across all documents, by DataFrame functions alone.
 
-Lines are hashed; a rolling hash of the last lines decides whether a chunk ends
-after a line, so the same lines are cut alike wherever they stand in a text. A
-line of at least ``LONG_WORDS`` words is always a chunk of its own; a shorter line
-needs a neighbour. Several rolling hashes cut each text in their own ways, since a
-short passage has few lines for one of them to end a chunk at. Chunks are counted
-by hash over all documents; those that occur again are compared as bytes, and all
-but the first occurrence (by doc_id, then text digest, then line) are removed.
-Some occurrence of each line always stays: the first one of all is never removed.
+Lines are hashed; rolling hashes of the last two and three lines decide whether a chunk
+ends after a line, so the same lines are cut alike wherever they stand in a text. Several
+rolling hashes cut each text in their own ways, and a chunk of two lines or more counts.
+
+A passage need not hold an end of a chunk at its borders, so each line also begins a
+chunk, and ends one: the fewest lines from it on, or up to it, that hold ``PASSAGE_WORDS``
+words. A passage of that many words that repeats is covered by such chunks, whatever
+lines stand around it; one line that holds as many is one.
+
+Chunks are counted by hash over all documents; those that occur again are compared as
+bytes, and all but the first occurrence (by doc_id, then text digest, then line) are
+removed. Some occurrence of each line always stays: the first one of all is never removed.
+
+Chunks of many occurrences are split: a chunk's occurrences are dealt to one part for each
+``PART`` of them, and the few that hold a large share of all are joined by broadcast.
 
 Defined cases: a null text stays null; an empty text is one empty line; rows equal
 in id and text are one document here and come out alike; ids may be null (first);
@@ -19,15 +26,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from termloom.llm.common import written
+from termloom.llm.common import spread_join, written
 
-#: A line of so many words is a chunk by itself.
-LONG_WORDS = 50
+#: A repeated chunk of so many words counts even where it is one line.
+PASSAGE_WORDS = 50
 #: Lines in each rolling hash's window, and its multiplier.
-CUTTERS = [(1, 1_103_515_245), (1, 69_069), (1, 1_664_525), (1, 22_695_477), (2, 214_013), (2, 134_775_813)]
+CUTTERS = [(2, 1_103_515_245), (2, 69_069), (3, 214_013), (3, 134_775_813)]
 PRIME = (1 << 31) - 1
+#: Occurrences of a chunk that are compared in one part.
+PART = 1000
 
 
 def _digest(id_col: str, text_col: str) -> Column:
@@ -45,50 +53,62 @@ def word_count(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
+def _rolled(hashes: Column, i: Column, window: int, by: int) -> Column:
+    """The rolling hash of line ``i`` (from 0) and the lines before it; none counts as 0."""
+    out = F.lit(0).cast("long")
+    for k in range(window - 1, -1, -1):
+        out = F.pmod((out + F.coalesce(F.get(hashes, i - k), F.lit(0))) * F.lit(by), F.lit(PRIME))
+    return out
+
+
+def _passage(words: Column, i: Column, step: int) -> Column:
+    """How many lines from line ``i`` (from 0) on, or back, hold PASSAGE_WORDS words; null where all that there are don't.
+
+    A line counts one word at least, so as many lines always do.
+    """
+    near = F.slice(words, i + 1, F.lit(PASSAGE_WORDS)) if step > 0 else F.reverse(F.slice(words, F.greatest(i + 2 - PASSAGE_WORDS, F.lit(1)), F.least(i + 1, F.lit(PASSAGE_WORDS))))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("sum"))
+    more = lambda s, w: F.when(s["sum"] >= PASSAGE_WORDS, s).otherwise(F.struct((s["n"] + 1).alias("n"), (s["sum"] + w).alias("sum")))
+    run = F.aggregate(near, start, more)
+    return F.when(F.get(words, i) >= PASSAGE_WORDS, F.lit(1)).otherwise(F.when(run["sum"] >= PASSAGE_WORDS, run["n"]))
+
+
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The chunks of every document that may be removed: _ld_row, _ld_id, _ld_from, _ld_to (lines from 1) and _ld_key."""
-    base = docs.where(F.col(text_col).isNotNull()).select(_digest(id_col, text_col).alias("_ld_row"), F.col(id_col).alias("_ld_id"), F.posexplode(F.split(text_col, "\n", -1)).alias("_ld_pos", "_ld_line"))
-    lines = base.select("_ld_row", "_ld_id", "_ld_pos", line_hash(F.col("_ld_line")).alias("_ld_h"), (word_count(F.col("_ld_line")) >= LONG_WORDS).alias("_ld_long"))
-    # Rows equal in id and text repeat each line; one of each is enough.
-    lines = lines.dropDuplicates(["_ld_row", "_ld_pos"])
-    order = W.partitionBy("_ld_row").orderBy("_ld_pos")
-    lines = lines.withColumn("_ld_next", F.coalesce(F.lead("_ld_long").over(order), F.lit(True))).withColumn("_ld_h1", F.coalesce(F.lag("_ld_h").over(order), F.lit(0)))
-    ends = []
-    for k, (window, by) in enumerate(CUTTERS):
-        rolled = F.pmod(F.col("_ld_h") * F.lit(by), F.lit(PRIME))
-        if window == 2:
-            rolled = F.pmod(F.pmod(F.col("_ld_h1") * F.lit(by), F.lit(PRIME)) * F.lit(by) + F.col("_ld_h"), F.lit(PRIME))
-        lines = lines.withColumn(f"_ld_e{k}", F.col("_ld_long") | F.col("_ld_next") | (rolled % 2 == 0))
-        ends.append(f"_ld_e{k}")
-    # A chunk's first line follows the last end before it.
-    so_far = order.rowsBetween(W.unboundedPreceding, -1)
-    starts = [F.coalesce(F.max(F.when(F.col(e), F.col("_ld_pos") + 1)).over(so_far), F.lit(0)).alias(f"_ld_s{k}") for k, e in enumerate(ends)]
-    lines = lines.select("_ld_row", "_ld_id", "_ld_pos", "_ld_h", "_ld_long", *starts)
-    cut = F.explode(F.array(*[F.struct(F.lit(k).alias("cut"), F.col(f"_ld_s{k}").alias("at")) for k in range(len(ends))])).alias("_ld_c")
-    # Long lines are the same chunk in every cutting.
-    each = lines.select("_ld_row", "_ld_id", "_ld_pos", "_ld_h", "_ld_long", cut).where(~F.col("_ld_long") | (F.col("_ld_c.cut") == 0))
-    found = each.groupBy("_ld_row", "_ld_id", F.col("_ld_c.cut").alias("_ld_cut"), F.col("_ld_c.at").alias("_ld_at")).agg(
-        F.max("_ld_pos").alias("_ld_last"), F.max("_ld_long").alias("_ld_long"), F.bit_xor(F.xxhash64("_ld_h", F.col("_ld_pos") - F.col("_ld_c.at"))).alias("_ld_hash")
-    )
-    found = found.where(F.col("_ld_long") | (F.col("_ld_last") > F.col("_ld_at")))
-    key = F.xxhash64("_ld_hash", F.col("_ld_last") - F.col("_ld_at")).alias("_ld_key")
-    return found.select("_ld_row", "_ld_id", (F.col("_ld_at") + 1).alias("_ld_from"), (F.col("_ld_last") + 1).alias("_ld_to"), key).distinct()
+    """The chunks of every document that may be removed: _ld_row, _ld_from, _ld_to (lines from 1) and _ld_key; no shuffle but to drop equal rows."""
+    base = docs.where(F.col(text_col).isNotNull()).select(_digest(id_col, text_col).alias("_ld_row"), F.split(text_col, "\n", -1).alias("_ld_all"))
+    lines = base.select("_ld_row", F.transform("_ld_all", line_hash).alias("_ld_h"), F.transform("_ld_all", word_count).alias("_ld_w"))
+    h, w = F.col("_ld_h"), F.col("_ld_w")
+    places = F.sequence(F.lit(0), F.size(h) - 1)
+    ends = [F.filter(places, lambda i: (i == F.size(h) - 1) | (_rolled(h, i, window, by) % 2 == 0)).alias(f"_ld_e{k}") for k, (window, by) in enumerate(CUTTERS)]
+    ahead = F.transform(places, lambda i: F.struct(i.alias("a"), (i + _passage(w, i, 1) - 1).alias("b")))
+    back = F.transform(places, lambda i: F.struct((i - _passage(w, i, -1) + 1).alias("a"), i.alias("b")))
+    lines = lines.select("_ld_row", "_ld_h", *ends, F.filter(F.concat(ahead, back), lambda s: s["a"].isNotNull() & s["b"].isNotNull()).alias("_ld_p"))
+    # A chunk begins after the end before it.
+    cut = [F.filter(F.transform(f"_ld_e{k}", lambda b, j: F.struct(F.coalesce(F.get(F.col(f"_ld_e{k}"), j - 1) + 1, F.lit(0)).alias("a"), b.alias("b"))), lambda s: s["b"] > s["a"]) for k in range(len(CUTTERS))]
+    spans = lines.select("_ld_row", "_ld_h", F.array_distinct(F.concat("_ld_p", *cut)).alias("_ld_s"))
+    key = lambda s: F.xxhash64(F.slice(h, s["a"] + 1, s["b"] - s["a"] + 1))
+    each = spans.select("_ld_row", F.explode(F.transform("_ld_s", lambda s: F.struct((s["a"] + 1).alias("a"), (s["b"] + 1).alias("b"), key(s).alias("k")))).alias("s"))
+    return each.select("_ld_row", F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.col("s.k").alias("_ld_key")).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated chunks gone from ``text_col``, and ``_ld_lines``, ``_ld_removed``: lines before, lines removed."""
     cut = written(chunks(docs, id_col, text_col), "line-chunks")
-    again = cut.groupBy("_ld_key").agg(F.count(F.lit(1)).alias("_ld_n")).where("_ld_n > 1").select("_ld_key")
-    wanted = cut.join(again, "_ld_key").groupBy("_ld_row").agg(F.collect_list(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_key").alias("k"))).alias("_ld_spans"))
+    again = written(cut.groupBy("_ld_key").agg(F.count(F.lit(1)).alias("_ld_n")).where("_ld_n > 1"), "line-repeats")
+    spans = spread_join(cut, again, "_ld_key", "_ld_n", cut.count())
+    wanted = spans.groupBy("_ld_row").agg(F.collect_list(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_key").alias("k"), F.col("_ld_n").alias("n"))).alias("_ld_spans"))
     keyed = docs.withColumn("_ld_row", _digest(id_col, text_col))
     lines = F.split(text_col, "\n", -1)
     # With the id taken from here, this join and the last one shuffle the same columns: Spark then does it once.
     bytes_ = keyed.join(wanted, "_ld_row").select("_ld_row", F.col(id_col).alias("_ld_id"), lines.alias("_ld_all"), F.explode("_ld_spans").alias("s"))
-    bytes_ = bytes_.select("_ld_row", "_ld_id", F.col("s.k").alias("_ld_key"), F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.array_join(F.slice("_ld_all", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1), "\n").alias("_ld_bytes"))
+    bytes_ = bytes_.select(
+        "_ld_row", "_ld_id", F.col("s.k").alias("_ld_key"), F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.array_join(F.slice("_ld_all", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1), "\n").alias("_ld_bytes"), F.ceil(F.col("s.n") / PART).cast("int").alias("_ld_parts")
+    )
     place = F.struct(F.col("_ld_id"), F.col("_ld_row"), F.col("_ld_from"))
-    first = bytes_.groupBy("_ld_key", "_ld_bytes").agg(F.min(place).alias("_ld_first"))
+    first = bytes_.groupBy("_ld_key", "_ld_bytes", "_ld_parts").agg(F.min(place).alias("_ld_first")).withColumn("_ld_part", F.explode(F.sequence(F.lit(0), F.col("_ld_parts") - 1))).drop("_ld_parts")
+    dealt = bytes_.withColumn("_ld_part", F.pmod(F.xxhash64("_ld_row", "_ld_from"), F.col("_ld_parts")).cast("int"))
     gone = (
-        bytes_.join(first, ["_ld_key", "_ld_bytes"])
+        dealt.join(first, ["_ld_key", "_ld_bytes", "_ld_part"])
         .where(~place.eqNullSafe(F.col("_ld_first")))
         .groupBy("_ld_row")
         .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("_ld_from", "_ld_to")))).alias("_ld_gone"))
@@ -113,22 +133,23 @@ def op1_query(docs: DataFrame) -> DataFrame:
 def _sql() -> str:
     ends = []
     for k, (window, by) in enumerate(CUTTERS):
-        rolled = f"(h * {by}) % {PRIME}" if window == 1 else f"((h1 * {by}) % {PRIME} * {by} + h) % {PRIME}"
-        ends.append(f"(is_long OR next_long OR ({rolled}) % 2 = 0) AS e{k}")
-    starts = [f"coalesce(max(CASE WHEN e{k} THEN pos + 1 END) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS s{k}" for k in range(len(CUTTERS))]
-    parts = [f"SELECT rid, doc_id, {k} AS cut, s{k} AS a, pos, line, is_long FROM started" + (" WHERE NOT is_long" if k else "") for k in range(len(CUTTERS))]
+        rolled = "0"
+        for j in range(window - 1, -1, -1):
+            rolled = f"(({rolled} + h{j}) * {by}) % {PRIME}"
+        ends.append(f"(next IS NULL OR ({rolled}) % 2 = 0) AS e{k}")
+    parts = [f"SELECT rid, doc_id, coalesce(max(CASE WHEN e{k} THEN pos + 1 END) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS a, pos AS b, e{k} AS at_end, 2 AS least FROM ended" for k in range(len(CUTTERS))]
     return f"""
 WITH base AS (SELECT doc_id, text, md5(coalesce(doc_id::VARCHAR, chr(0)) || chr(1) || text) AS rid FROM documents),
 split AS (SELECT DISTINCT rid, doc_id, string_split(text, chr(10)) AS lines FROM base WHERE text IS NOT NULL),
 lined AS (SELECT rid, doc_id, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM split),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h, length(line) - length(replace(line, ' ', '')) + 1 >= {LONG_WORDS} AS is_long FROM lined),
-near AS (SELECT *, coalesce(lead(is_long) OVER w, true) AS next_long, coalesce(lag(h) OVER w, 0) AS h1 FROM hashed WINDOW w AS (PARTITION BY rid ORDER BY pos)),
-ended AS (SELECT *, {", ".join(ends)} FROM near),
-started AS (SELECT *, {", ".join(starts)} FROM ended),
-parts AS ({" UNION ALL ".join(parts)}),
-chunk AS (SELECT rid, doc_id, cut, a, max(pos) AS b, string_agg(line, chr(10) ORDER BY pos) AS body FROM parts GROUP BY rid, doc_id, cut, a HAVING bool_or(is_long) OR max(pos) > a),
-once AS (SELECT DISTINCT rid, doc_id, a, b, body FROM chunk),
-told AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS FIRST, rid, a) AS nth FROM once),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h0, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM lined),
+near AS (SELECT *, coalesce(lag(h0) OVER o, 0) AS h1, coalesce(lag(h0, 2) OVER o, 0) AS h2, lead(pos) OVER o AS next, sum(w) OVER (PARTITION BY rid ORDER BY pos)::BIGINT AS till, sum(w) OVER (PARTITION BY rid)::BIGINT AS words, count(*) OVER (PARTITION BY rid) AS n FROM hashed WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+ended AS (SELECT *, till - w AS since, {", ".join(ends)} FROM near),
+ahead AS (SELECT rid, doc_id, pos AS a, coalesce(min(pos) OVER (PARTITION BY rid ORDER BY since RANGE BETWEEN {PASSAGE_WORDS} FOLLOWING AND UNBOUNDED FOLLOWING) - 1, CASE WHEN words - since >= {PASSAGE_WORDS} THEN n END) AS b, true AS at_end, 1 AS least FROM ended),
+back AS (SELECT rid, doc_id, CASE WHEN till >= {PASSAGE_WORDS} THEN coalesce(max(pos) OVER (PARTITION BY rid ORDER BY till RANGE BETWEEN UNBOUNDED PRECEDING AND {PASSAGE_WORDS} PRECEDING) + 1, 1) END AS a, pos AS b, true AS at_end, 1 AS least FROM ended),
+spans AS (SELECT DISTINCT rid, doc_id, a, b FROM (SELECT * FROM ahead UNION ALL SELECT * FROM back UNION ALL {" UNION ALL ".join(parts)}) WHERE at_end AND a IS NOT NULL AND b IS NOT NULL AND b - a + 1 >= least),
+once AS (SELECT s.rid, s.doc_id, a, b, string_agg(line, chr(10) ORDER BY pos) AS body FROM spans s JOIN lined l ON l.rid = s.rid AND l.pos BETWEEN s.a AND s.b GROUP BY s.rid, s.doc_id, a, b),
+told AS (SELECT *, row_number() OVER (PARTITION BY body, b - a ORDER BY doc_id NULLS FIRST, rid, a) AS nth FROM once),
 gone AS (SELECT DISTINCT rid, unnest(range(a, b + 1)) AS pos FROM told WHERE nth > 1),
 rest AS (SELECT l.rid, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS body, count(g.pos) AS n FROM lined l LEFT JOIN gone g ON l.rid = g.rid AND l.pos = g.pos GROUP BY l.rid)
 SELECT b.doc_id, CASE WHEN b.text IS NULL THEN NULL ELSE coalesce(r.body, '') END AS text, coalesce(len(string_split(b.text, chr(10))), 0)::INTEGER AS n_lines, coalesce(r.n, 0)::INTEGER AS n_removed
