@@ -13,8 +13,15 @@ of them changed some mask fits at some place, whichever words changed (tests try
 Items of fewer words have masks of their own length that leave out every choice of as
 many words as may differ.
 
-The benchmark is cut into blocks of a bounded number of words; each block's index
-is broadcast, and every block meets every document, so its size is no limit.
+The benchmark is cut into blocks of a bounded number of words; each block's index is
+broadcast (65 MB at most), and every block meets every document, in one pass. The join of
+hashes is a search of a block's sorted ones; documents don't move. The driver builds one
+index after the other and keeps their broadcast files, so a benchmark should stay below
+some 10^8 words, whatever the number of documents.
+
+Words that repeat give a place of a text as many hits as the item has such places; hits
+that only carry on a diagonal (the windows before are a hit already) are left out, and the
+rest is gone through a bounded number at a time.
 
 Defined cases: null and empty texts have no words and never match; rows that repeat
 each give their matches; of several overlaps of a document and an item the best (most
@@ -43,6 +50,8 @@ IDENTITY = 0.8
 MIN_WORDS = 13
 #: Bits of a hash that the table of known ones takes, at most.
 _BITS = 22
+#: Hits that are held at once.
+HELD_HITS = 1_000_000
 
 
 def short_masks(n: int) -> list[str]:
@@ -68,12 +77,17 @@ def _mask_hashes(h: np.ndarray, mask: str) -> np.ndarray:
 
 @dataclass
 class Index:
-    """A block of the benchmark: its words' hashes, and for each mask its windows' hashes, sorted, with their places."""
+    """A block of the benchmark: its words' hashes, and for each mask its windows.
+
+    Windows are told by their hashes, sorted, their places, how many of them up to here
+    don't carry on the window before (of equal ones those come first), a table of hashes'
+    first bits, and how far a hash is shifted for it.
+    """
 
     ids: list
     words: np.ndarray
     first: np.ndarray
-    masks: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.uint64]]
+    masks: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.uint64]]
 
 
 def build_index(ids: list, texts: list[str | None]) -> Index:
@@ -86,13 +100,14 @@ def build_index(ids: list, texts: list[str | None]) -> Index:
         at = np.arange(len(found))
         own = w.owner[: len(found)]
         whole = (at + len(mask) <= w.first[own + 1]) & (len(mask) == sizes[own] if short else sizes[own] >= MIN_WORDS)
+        more = np.append(False, (found[1:] == found[:-1]) & (own[1:] == own[:-1]) & whole[:-1]) if len(found) else np.zeros(0, bool)
         at = at[whole]
-        at = at[np.argsort(found[at], kind="stable")]
+        at = at[np.lexsort((at, more[at], found[at]))]
         bits = min(_BITS, (8 * len(at)).bit_length() + 2)
         shift = np.uint64(64 - bits)
         known = np.zeros(1 << bits, bool)
         known[(found[at] >> shift).astype(np.int64)] = True
-        masks.append((mask, found[at], at, known, shift))
+        masks.append((mask, found[at], at, np.append(0, np.cumsum(~more[at])), known, shift))
     return Index(ids, h, w.first, masks)
 
 
@@ -120,27 +135,33 @@ def search_texts(index: Index, texts: list[str | None], identity: float = IDENTI
 def search(index: Index, w: Words, identity: float = IDENTITY, min_words: int = MIN_WORDS) -> list[tuple]:
     """Matches of a batch: text, item, first word in the text, first word in the item, words, equal words."""
     h = w.hashes()
-    owners, docs, items = [], [], []
-    for mask, hashes, places, known, shift in index.masks:
+    span = len(h) + len(index.words) + 1
+    hits = np.zeros(0, np.int64)  # a text, item and diagonal as one number
+    for mask, hashes, places, begun, known, shift in index.masks:
         found = _mask_hashes(h, mask)
         if not len(found) or not len(hashes):
             continue
         may = np.flatnonzero(known[(found >> shift).astype(np.int64)])
         lo, hi = np.searchsorted(hashes, found[may]), np.searchsorted(hashes, found[may], "right")
-        may, lo, n = may[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-        inside = may + len(mask) <= w.first[w.owner[may] + 1]
-        may, lo, n = may[inside], lo[inside], n[inside]
-        at = np.repeat(may, n)
-        j = places[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        owners.append(w.owner[at])
-        items.append(np.searchsorted(index.first, j, "right") - 1)
-        docs.append(at - j)
-    if not owners:
-        return []
-    # One overlap for each text, item and diagonal.
-    hits = np.unique(np.stack([np.concatenate(owners), np.concatenate(items), np.concatenate(docs)]), axis=1)
+        inside = (hi > lo) & (may + len(mask) <= w.first[w.owner[may] + 1])
+        may, lo, hi = may[inside], lo[inside], hi[inside]
+        # A window equal to the one before it meets only those that don't carry on theirs: the others' diagonals are hit already.
+        more = (may > w.first[w.owner[may]]) & (found[may] == found[np.maximum(may - 1, 0)])
+        n = np.where(more, begun[hi] - begun[lo], hi - lo)
+        upto = np.cumsum(n)
+        first = 0
+        while first < len(may):
+            last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + HELD_HITS, "right")))
+            m = n[first:last]
+            at = np.repeat(may[first:last], m)
+            j = places[np.repeat(lo[first:last], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)]
+            told = (w.owner[at] * len(index.ids) + np.searchsorted(index.first, j, "right") - 1) * span + (at - j) + len(index.words)
+            hits = np.union1d(hits, told)
+            first = last
     best: dict[tuple[int, int], tuple] = {}
-    for text, item, shift in hits.T.tolist():
+    for told in hits.tolist():
+        pair, shift = divmod(told, span)
+        (text, item), shift = divmod(pair, len(index.ids)), shift - len(index.words)
         d0, d1, i0, i1 = int(w.first[text]), int(w.first[text + 1]), int(index.first[item]), int(index.first[item + 1])
         lo, hi = max(i0, d0 - shift), min(i1, d1 - shift)
         same = h[lo + shift : hi + shift] == index.words[lo:hi]
@@ -154,16 +175,14 @@ def search(index: Index, w: Words, identity: float = IDENTITY, min_words: int =
     return list(best.values())
 
 
-def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> list[Index]:
-    """The blocks of the benchmark; sizes are summed by Spark before anything is collected."""
+def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> Iterator[Index]:
+    """The blocks of the benchmark, one after the other; sizes are summed by Spark before anything is collected."""
     n_chars = benchmark.agg(F.sum(F.length(text_col))).first()[0] or 0
     blocks = max(1, -(-int(n_chars) // (2 * block_words)))  # a word and its gap take two characters at least
     keyed = benchmark.select(id_col, text_col).withColumn("_block", F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)))
-    out = []
     for b in range(blocks):
         rows = sorted(keyed.where(F.col("_block") == b).select(id_col, text_col).collect(), key=lambda r: (str(r[0]), r[1] or ""))
-        out.append(build_index([r[0] for r in rows], [r[1] for r in rows]))
-    return out
+        yield build_index([r[0] for r in rows], [r[1] for r in rows])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", identity: float = IDENTITY, min_words: int = MIN_WORDS) -> DataFrame:
