@@ -1,16 +1,20 @@
 """WARC records of pages, and a Merkle audit of replicas.
 
-``records`` makes one WARC/1.1 resource record per page and its digest; records in
-order (page_id, url, digest) fill segments of ``SEGMENT_RECORDS`` with running byte
-offsets. A leaf hashes a record's slot, offset range and digest, a node its up to
-``FANOUT`` ordered children, up to one root. ``audit`` compares two replicas' roots
-and follows only branches whose hashes differ, level by level, down to leaves.
+``records`` are WARC/1.1 resource records, one a page. A record is known by its page_id, url
+and occurrence (among records of equal page_id and url, by digest); a hash of those is its
+place, whatever other records a replica holds. Places of equal leading digits (base 8) are a
+branch: a segment is a range of places that is expected to hold at most ``SEGMENT_RECORDS``
+records, in order of place with running byte offsets, and is cut into 64 ordered ranges of
+its own. A range hashes its records' offsets (within the range), lengths and digests, a node its
+up to 8 ordered children, up to one root. ``audit`` compares two replicas' roots and follows
+only branches whose hashes differ, level by level, down to ranges; there records are compared
+one by one, so a record that a replica lacks, or has too many, condemns no other.
 
 ``write_warc`` and ``read_warc`` store and parse the files themselves.
 
-Defined cases: null url or html count as empty; a null id sorts first and prints as
-nothing; repeated pages are records each; an empty table has no root and nothing to
-find; records that one replica lacks are found like damaged ones; other columns are ignored.
+Defined cases: null url or html count as empty; a null id prints as nothing; repeated pages
+are records each; an empty table has no root and nothing to find; a record that the replica
+lacks is damaged; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +31,10 @@ from termloom.llm.common import ranked, written
 
 SEGMENT_RECORDS = 512
 FANOUT = 8
-#: Levels from a segment's leaves to its own node: FANOUT ** 3 = SEGMENT_RECORDS.
-SEGMENT_LEVELS = 3
+#: Levels from a segment to its ranges: FANOUT ** 2 = 64 of them.
+RANGE_LEVELS = 2
+#: Digits (base 8) of a place: 60 bits of MD5.
+DIGITS = 20
 
 
 def record(page_id: Column, url: Column, html: Column) -> Column:
@@ -43,64 +49,105 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     )
 
 
+def segment_digits(n: int) -> int:
+    """Leading digits that name a segment where a replica has ``n`` records."""
+    digits = 0
+    while SEGMENT_RECORDS * FANOUT**digits < n:
+        digits += 1
+    return digits
+
+
+def range_of(place: Column, digits: int) -> Column:
+    """The branch of a place that has ``digits`` leading digits in common."""
+    return F.shiftright(place, 3 * (DIGITS - digits))
+
+
 def leaves(pages: DataFrame) -> DataFrame:
-    """page_id, idx, segment, slot, offset, length, record_sha256, hash of every record; bodies don't move."""
+    """place, page_id, url, nth, length, record_sha256 of every record; bodies don't move."""
     r = record(F.col("page_id"), F.col("url"), F.col("html"))
     told = written(
         pages.select("page_id", "url", "html").select("page_id", F.coalesce("url", F.lit("")).alias("url"), r.alias("r")).select("page_id", "url", F.octet_length("r").cast("long").alias("length"), F.sha2("r", 256).alias("record_sha256")),
         "warc-records",
     )
-    placed = ranked(told, [], ["page_id", "url", "record_sha256"], "idx").select("*", F.floor(F.col("idx") / SEGMENT_RECORDS).alias("segment"), (F.col("idx") % SEGMENT_RECORDS).cast("int").alias("slot"))
-    before = W.partitionBy("segment").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
-    leaf = F.sha2(F.concat_ws(":", F.lit("leaf"), "slot", "offset", "length", "record_sha256"), 256)
-    return written(placed.select("page_id", "idx", "segment", "slot", "offset", "length", "record_sha256", leaf.alias("hash")), "warc-leaves")
+    key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "url", F.col("nth").cast("string"))
+    place = F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
+    return ranked(told, ["page_id", "url"], ["record_sha256"], "nth").withColumn("place", place)
+
+
+def ranges(leaf: DataFrame, digits: int, name: str) -> DataFrame:
+    """node, ``name``: the hash of each range of places with ``digits`` digits, over its ordered records and their offsets in it."""
+    order = F.array_sort(F.collect_list(F.struct("place", "page_id", "url", "nth", "length", "record_sha256")))
+    rows = leaf.groupBy(range_of(F.col("place"), digits).alias("node")).agg(order.alias("r"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("range").alias("told"))
+    told = F.aggregate("r", start, lambda s, x: F.struct((s["at"] + x["length"]).alias("at"), F.sha2(F.concat_ws(":", s["told"], x["place"], s["at"], x["length"], x["record_sha256"]), 256).alias("told")))
+    return rows.select("node", told["told"].alias(name))
 
 
 def grown(level: DataFrame) -> DataFrame:
-    """The next level of a tree: idx, hash of each node over its ordered children."""
-    kids = F.array_sort(F.collect_list(F.struct("idx", "hash")))
-    return level.groupBy(F.floor(F.col("idx") / FANOUT).alias("idx")).agg(kids.alias("k")).select("idx", F.sha2(F.concat(F.lit("node:"), F.array_join(F.transform("k", lambda x: x["hash"]), ":")), 256).alias("hash"))
+    """The next level of two trees: node, a, b of each node over its ordered children (node, a, b)."""
+    kids = F.array_sort(F.collect_list(F.struct("node", "a", "b")))
+
+    def of(side: str) -> Column:
+        # A child that a replica lacks has no hash there.
+        told = F.transform("k", lambda x: F.concat_ws("=", (x["node"] % FANOUT).cast("string"), x[side]))
+        return F.when(F.exists("k", lambda x: x[side].isNotNull()), F.sha2(F.concat(F.lit("node:"), F.array_join(told, ":")), 256)).alias(side)
+
+    return level.groupBy(F.shiftright("node", 3).alias("node")).agg(kids.alias("k")).select("node", of("a"), of("b"))
 
 
-def tree(leaf: DataFrame, height: int | None = None) -> list[DataFrame]:
-    """Levels (idx, hash) from the leaves up to one root, or to a given height."""
-    levels = [leaf.select("idx", "hash")]
-    n = (leaf.agg(F.max("idx")).first()[0] or 0) + 1
-    while n > 1 if height is None else len(levels) <= height:
+def trees(one: DataFrame, other: DataFrame, digits: int) -> list[DataFrame]:
+    """Levels (node, a, b: both replicas' hashes) from the ranges up to one root."""
+    levels = [written(ranges(one, digits, "a").join(ranges(other, digits, "b"), "node", "full"), "warc-level")]
+    for _ in range(digits):
         levels.append(written(grown(levels[-1]), "warc-level"))
-        n = -(-n // FANOUT)
     return levels
 
 
-def audit(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
-    """idx of every leaf that differs between two trees of one height, found from the roots down."""
+def audit(levels: list[DataFrame]) -> DataFrame:
+    """node of every range that differs between two replicas, found from the root down."""
     bad = None
-    for one, other in zip(reversed(a), reversed(b), strict=True):
+    for level in reversed(levels):
         if bad is not None:
-            one, other = (x.withColumn("up", F.floor(F.col("idx") / FANOUT)).join(bad.withColumnRenamed("idx", "up"), "up", "left_semi").drop("up") for x in (one, other))
-        both = one.join(other.withColumnRenamed("hash", "other"), "idx", "full")
-        bad = written(both.where(~F.col("hash").eqNullSafe(F.col("other"))).select("idx"), "warc-bad")
+            level = level.withColumn("up", F.shiftright("node", 3)).join(bad.withColumnRenamed("node", "up"), "up", "left_semi").drop("up")
+        bad = written(level.where(~F.col("a").eqNullSafe(F.col("b"))).select("node"), "warc-bad")
     return bad
 
 
-def heights(a: DataFrame, b: DataFrame) -> int:
-    """Levels above the leaves that the larger of two replicas needs."""
-    n = max((x.agg(F.max("idx")).first()[0] or 0) + 1 for x in (a, b))
-    h = 0
-    while n > 1:
-        n, h = -(-n // FANOUT), h + 1
-    return h
+def compared(pages: DataFrame, replica: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Both replicas' records, and the trees' segments (segment, segment_root) of the first; the last is a segment's digits.
+
+    The records have ``damaged``: of the first replica, those that differ or that the other
+    lacks; of the other, those that the first lacks.
+    """
+    one, other = leaves(pages), leaves(replica)
+    digits = segment_digits(one.count())
+    levels = trees(one, other, digits + RANGE_LEVELS)
+    bad = audit(levels)
+    inside = lambda x: x.join(bad, range_of(F.col("place"), digits + RANGE_LEVELS) == F.col("node"), "left_semi").select("place", "page_id", "url", "nth", "record_sha256")
+    names = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("place", "page_id", "url", "nth")]
+    both = inside(one).alias("a").join(inside(other).alias("b"), names[0] & names[1] & names[2] & names[3], "full")
+    wrong = written(both.where(~F.col("a.record_sha256").eqNullSafe(F.col("b.record_sha256"))).select(*[F.col(f"a.{k}").alias(k) for k in ("place", "nth", "record_sha256")], *[F.col(f"b.{k}").alias(f"b_{k}") for k in ("place", "nth", "record_sha256")]), "warc-wrong")
+
+    def marked(x: DataFrame, side: str, only: Column) -> DataFrame:
+        hurt = wrong.where(only & F.col(f"{side}record_sha256").isNotNull()).select(F.col(f"{side}place").alias("place"), F.col(f"{side}nth").alias("nth"), F.col(f"{side}record_sha256").alias("record_sha256"), F.lit(True).alias("damaged")).distinct()
+        return x.join(hurt, ["place", "nth", "record_sha256"], "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
+
+    roots = levels[RANGE_LEVELS].where(F.col("a").isNotNull()).select(F.col("node").alias("segment"), F.col("a").alias("segment_root"))
+    return marked(one, "", F.lit(True)), marked(other, "b_", F.col("record_sha256").isNull()), roots, digits
 
 
 def fixity(pages: DataFrame, replica: DataFrame) -> DataFrame:
-    """Every record of ``pages`` with its place, digest, its segment's root, and whether the replica's record differs."""
-    one, other = leaves(pages), leaves(replica)
-    h = max(heights(one, other), SEGMENT_LEVELS)
-    a, b = tree(one, h), tree(other, h)
-    bad = audit(a, b).withColumn("damaged", F.lit(True))
-    roots = a[SEGMENT_LEVELS].select(F.col("idx").alias("segment"), F.col("hash").alias("segment_root"))
-    return one.join(roots, "segment").join(bad, "idx", "left").select("page_id", F.col("segment").cast("long").alias("segment"), "slot", "offset", "length", "record_sha256", "segment_root", F.coalesce("damaged", F.lit(False)).alias("damaged"))
+    """Every record of ``pages`` with its segment, slot and byte offset there, digest, its segment's root, and whether the replica's record differs or is missing."""
+    one, _, roots, digits = compared(pages, replica)
+    order = W.partitionBy("segment").orderBy("place", "page_id", "url", "nth")
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    placed = one.withColumn("segment", range_of(F.col("place"), digits)).withColumn("slot", F.row_number().over(order) - 1).withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    return placed.join(roots, "segment").select("page_id", "segment", F.col("slot").cast("int").alias("slot"), "offset", "length", "record_sha256", "segment_root", "damaged")
+
+
+def surplus(pages: DataFrame, replica: DataFrame) -> DataFrame:
+    """page_id, url, record_sha256 of the replica's records that ``pages`` lack."""
+    return compared(pages, replica)[1].where("damaged").select("page_id", "url", "record_sha256")
 
 
 def damaged_copy(pages: DataFrame) -> DataFrame:
@@ -175,14 +222,15 @@ def _sql() -> str:
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, coalesce({hurt}, '') AS hurt, md5(concat_ws('|', page_id::VARCHAR, coalesce(url, ''))) AS m FROM pages),
 r AS (SELECT page_id, coalesce(url, '') AS url, {rec("html")} AS good, {rec("hurt")} AS other FROM p),
 d AS (SELECT page_id, url, strlen(good) AS length, sha256(good) AS record_sha256, good <> other AS damaged FROM r),
-i AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, url, record_sha256) - 1 AS idx FROM d),
-s AS (SELECT *, idx // {SEGMENT_RECORDS} AS segment, (idx % {SEGMENT_RECORDS})::INTEGER AS slot FROM i),
-o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY segment ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM s),
-l0 AS (SELECT idx, sha256(concat_ws(':', 'leaf', slot, "offset", length, record_sha256)) AS hash FROM o),
-l1 AS (SELECT idx // {FANOUT} AS idx, sha256('node:' || string_agg(hash, ':' ORDER BY idx)) AS hash FROM l0 GROUP BY idx // {FANOUT}),
-l2 AS (SELECT idx // {FANOUT} AS idx, sha256('node:' || string_agg(hash, ':' ORDER BY idx)) AS hash FROM l1 GROUP BY idx // {FANOUT}),
-l3 AS (SELECT idx // {FANOUT} AS idx, sha256('node:' || string_agg(hash, ':' ORDER BY idx)) AS hash FROM l2 GROUP BY idx // {FANOUT})
-SELECT o.page_id, o.segment, o.slot, o."offset", o.length, o.record_sha256, l3.hash AS segment_root, o.damaged FROM o JOIN l3 ON l3.idx = o.segment"""
+k AS (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY record_sha256) - 1 AS nth FROM d),
+i AS (SELECT *, ('0x' || substr(md5(coalesce(page_id::VARCHAR, '-') || '|' || url || '|' || nth), 1, 15))::BIGINT AS place, CASE {" ".join(f"WHEN n <= {SEGMENT_RECORDS * FANOUT**g} THEN {g}" for g in range(13))} END AS digits FROM k, (SELECT count(*) AS n FROM pages)),
+s AS (SELECT *, place >> (3 * ({DIGITS} - digits)) AS segment, place >> (3 * ({DIGITS - RANGE_LEVELS} - digits)) AS node FROM i),
+o AS (SELECT *, row_number() OVER w - 1 AS slot, coalesce(sum(length) OVER (PARTITION BY segment ORDER BY place, page_id NULLS FIRST, url, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+ coalesce(sum(length) OVER (PARTITION BY node ORDER BY place, page_id NULLS FIRST, url, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS starts FROM s WINDOW w AS (PARTITION BY segment ORDER BY place, page_id NULLS FIRST, url, nth)),
+x AS (SELECT node, list(place || ':' || starts || ':' || length || ':' || record_sha256 ORDER BY place, page_id NULLS FIRST, url, nth) AS told FROM o GROUP BY node),
+l0 AS (SELECT node, list_reduce(list_prepend('range', told), lambda s, t: sha256(s || ':' || t)) AS hash FROM x),
+{", ".join(f"l{k} AS (SELECT node >> 3 AS node, sha256('node:' || string_agg((node % {FANOUT}) || '=' || hash, ':' ORDER BY node)) AS hash FROM l{k - 1} GROUP BY node >> 3)" for k in range(1, RANGE_LEVELS + 1))}
+SELECT o.page_id, o.segment, o.slot::INTEGER AS slot, o."offset", o.length, o.record_sha256, l{RANGE_LEVELS}.hash AS segment_root, o.damaged FROM o JOIN l{RANGE_LEVELS} ON l{RANGE_LEVELS}.node = o.segment"""
 
 
 OP4_SQL = _sql()
