@@ -1,8 +1,10 @@
 """ISO media containers as columns: boxes, sample tables and keyframe byte ranges.
 
 ``parse_container`` walks the nested boxes of an ISO base media file (MP4, MOV,
-3GP and kin), decodes the sample tables with numpy and reports codec, duration,
-sample and keyframe byte ranges. Payload bytes are never decoded.
+3GP and kin), decodes the sample tables and the runs of movie fragments with numpy
+and reports codec, duration, sample and keyframe byte ranges. Payload bytes are never
+decoded. Counts in headers are held against the file's length before anything is
+made of them, so a small file takes little memory whatever it claims.
 
 ``build_container`` is its counterpart for raw 8-bit samples: one track of
 uncompressed 8x8 grey frames, 64 bytes a sample, a keyframe every 32 samples.
@@ -112,6 +114,13 @@ def _boxes(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, in
         at += size
 
 
+def _bounded(n: int, least: int, data: memoryview) -> int:
+    """A count of things that take ``least`` bytes each, if the file can hold as many."""
+    if n * max(least, 1) > len(data):
+        raise Malformed("more samples than bytes")
+    return n
+
+
 def _table(data: memoryview, at: int, end: int, kind: str, width: int = 1) -> np.ndarray:
     """The rows of a counted table whose count stands at ``at``."""
     n = struct.unpack_from(">I", data, at)[0]
@@ -130,6 +139,8 @@ def _track(data: memoryview, at: int, end: int) -> dict:
         for kind, lo, hi in _boxes(data, *todo.pop()):
             if kind in NESTED:
                 todo.append((lo, hi))
+            elif kind == b"tkhd":
+                t["id"] = struct.unpack_from(">20xI" if data[lo] == 1 else ">12xI", data, lo)[0]
             elif kind == b"mdhd":
                 t["timescale"], t["duration"] = struct.unpack_from(">20xIQ" if data[lo] == 1 else ">12xII", data, lo)
             elif kind == b"hdlr":
@@ -145,7 +156,7 @@ def _track(data: memoryview, at: int, end: int) -> dict:
                 t["runs"] = _table(data, lo + 4, hi, ">u4", 3)
             elif kind == b"stsz":
                 one, n = struct.unpack_from(">II", data, lo + 4)
-                t["sizes"] = np.full(n, one, np.int64) if one else _table(data, lo + 8, hi, ">u4")
+                t["sizes"] = np.full(_bounded(n, one, data), one, np.int64) if one else _table(data, lo + 8, hi, ">u4")
             elif kind == b"stco":
                 t["chunks"] = _table(data, lo + 4, hi, ">u4")
             elif kind == b"co64":
@@ -161,7 +172,9 @@ def _places(t: dict) -> np.ndarray:
     if runs is None or not len(runs) or not len(chunks):
         raise Malformed("samples without chunks")
     until = np.append(runs[1:, 0], len(chunks) + 1)
-    per = np.repeat(runs[:, 1], np.maximum(until - runs[:, 0], 0))
+    if runs[0, 0] != 1 or (until <= runs[:, 0]).any():
+        raise Malformed("runs of chunks out of order")
+    per = np.repeat(runs[:, 1], until - runs[:, 0])
     if len(per) != len(chunks) or per.sum() != len(sizes):
         raise Malformed("sample tables disagree")
     first = np.cumsum(per) - per
@@ -169,12 +182,64 @@ def _places(t: dict) -> np.ndarray:
     return np.repeat(chunks - before[np.minimum(first, len(sizes) - 1)], per) + before
 
 
+#: Fixed values of ISO/IEC 14496-12: flags of the fields that tfhd and trun hold, and of samples that aren't keyframes.
+TFHD = {"base": 0x1, "description": 0x2, "duration": 0x8, "size": 0x10, "flags": 0x20, "from_moof": 0x20000}
+TRUN = {"offset": 0x1, "first_flags": 0x4, "duration": 0x100, "size": 0x200, "flags": 0x400, "shift": 0x800}
+NOT_SYNC = 0x10000
+
+
+def _defaults(data: memoryview, at: int, end: int) -> dict[int, tuple[int, int, int]]:
+    """The mvex box's defaults of each track's fragments: duration, size, flags."""
+    return {v[0]: v[2:] for kind, lo, _ in _boxes(data, at, end) if kind == b"trex" for v in [struct.unpack_from(">4x5I", data, lo)]}
+
+
+def _fragment(data: memoryview, moof: int, at: int, end: int, defaults: dict[int, tuple[int, int, int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Track, starts, sizes, keyframe marks and duration of each run of samples in a moof box that begins at ``moof``."""
+    last = moof  # where the data of the runs before end
+    for kind, lo, hi in _boxes(data, at, end):
+        if kind != b"traf":
+            continue
+        track, base, own = 0, moof, (0, 0, 0)
+        place = last
+        for inner, a, b in _boxes(data, lo, hi):
+            if inner == b"tfhd":
+                flags, track = struct.unpack_from(">II", data, a)
+                own, p = list(defaults.get(track, (0, 0, 0))), a + 8
+                base = moof if flags & TFHD["from_moof"] else last
+                if flags & TFHD["base"]:
+                    base, p = struct.unpack_from(">Q", data, p)[0], p + 8
+                p += 4 if flags & TFHD["description"] else 0
+                for k, name in enumerate(("duration", "size", "flags")):
+                    if flags & TFHD[name]:
+                        own[k], p = struct.unpack_from(">I", data, p)[0], p + 4
+                place = base
+            elif inner == b"trun":
+                flags, n = struct.unpack_from(">II", data, a)
+                p, first = a + 8, None
+                if flags & TRUN["offset"]:
+                    place, p = base + struct.unpack_from(">i", data, p)[0], p + 4
+                if flags & TRUN["first_flags"]:
+                    first, p = struct.unpack_from(">I", data, p)[0], p + 4
+                names = [x for x in ("duration", "size", "flags", "shift") if flags & TRUN[x]]
+                if p + 4 * len(names) * n > b:
+                    raise Malformed("a run of samples is cut off")
+                # Without a field of their own, samples take at least their default size of the file.
+                rows = np.frombuffer(data, ">u4", _bounded(n, 0 if names else own[1], data) * len(names), p).reshape(n, len(names)).astype(np.int64)
+                durations, sizes, marks = (rows[:, names.index(x)] if x in names else np.full(n, own[k], np.int64) for k, x in enumerate(("duration", "size", "flags")))
+                if first is not None and n:
+                    marks = np.append(first, marks[1:])
+                starts = place + np.cumsum(sizes) - sizes
+                place = last = int(place + sizes.sum())
+                yield track, starts, sizes, (marks & NOT_SYNC) == 0, int(durations.sum())
+
+
 def parse_container(data: bytes | None) -> dict:
     """Codec, duration, samples and keyframe byte ranges of each track; payload stays undecoded."""
     out: dict = {"brand": None, "tracks": [], "error": None}
     if data is None:
         return out | {"error": "no bytes"}
     view = memoryview(data)
+    tracks, defaults, at_moof = {}, {}, 0
     try:
         for kind, lo, hi in _boxes(view, 0, len(view)):
             if kind == b"ftyp":
@@ -184,20 +249,37 @@ def parse_container(data: bytes | None) -> dict:
                     if inner == b"trak":
                         t = _track(view, a, b)
                         at, sizes = _places(t), t.get("sizes", np.zeros(0, np.int64))
-                        if len(at) and ((at < 0) | (at + sizes > len(view))).any():
-                            raise Malformed("samples outside the file")
                         sync = np.arange(len(sizes)) if t["sync"] is None else t["sync"]
                         if len(sync) and (sync.min() < 0 or sync.max() >= len(sizes)):
                             raise Malformed("keyframes outside the samples")
                         times = t.get("times", np.zeros((0, 2), np.int64))
+                        _inside(at, sizes, view)
                         out["tracks"].append(
                             {"codec": t["codec"], "handler": t["handler"], "timescale": t["timescale"], "duration": t["duration"] or int((times[:, 0] * times[:, 1]).sum()), "starts": at, "sizes": sizes, "key_starts": at[sync], "key_ends": at[sync] + sizes[sync]}
                         )
+                        tracks[t.get("id", len(out["tracks"]))] = (out["tracks"][-1], t["duration"] == 0)
+                    elif inner == b"mvex":
+                        defaults = _defaults(view, a, b)
+            elif kind == b"moof":
+                for track, starts, sizes, keys, duration in _fragment(view, at_moof, lo, hi, defaults):
+                    if track not in tracks:
+                        raise Malformed("a fragment of no track")
+                    _inside(starts, sizes, view)
+                    t, adds = tracks[track]
+                    more = {"starts": starts, "sizes": sizes, "key_starts": starts[keys], "key_ends": starts[keys] + sizes[keys]}
+                    t.update({k: np.concatenate([t[k], x]) for k, x in more.items()})
+                    t["duration"] += duration if adds else 0
+            at_moof = hi
     except (Malformed, struct.error, IndexError, ValueError, OverflowError, MemoryError) as e:
         out["error"] = str(e) or "malformed"
     return out
 
 
+def _inside(at: np.ndarray, sizes: np.ndarray, data: memoryview) -> None:
+    if len(at) and ((at < 0) | (at + sizes > len(data))).any():
+        raise Malformed("samples outside the file")
+
+
 def read_samples(data: bytes, track: dict) -> bytes:
     """The track's sample bytes in order, read from the file by its byte ranges; touching ranges are read as one."""
     at, sizes = track["starts"], track["sizes"]
