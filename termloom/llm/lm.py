@@ -212,19 +212,25 @@ class Counted:
 
 
 def summed(counts: DataFrame, ends: int) -> Counted:
-    """Bounded summaries of the count table: sums, the HEAD_WORDS most frequent words at most, and class sums."""
+    """Bounded summaries of the count table: sums, the most frequent words (HEAD_WORDS at most), the events' words and class sums.
+
+    The head ends between two steps of frequency (exact counts under 1024, then 64 steps to
+    a doubling), so it may hold less than its bound, or nothing; counts of words beyond it
+    are joined, so results are the same. The events' words don't depend on it.
+    """
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # From the most frequent down, as many counts as keep the words within the bound.
-    steps = counts.groupBy(F.least("c", F.lit(50_000)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    top = counts.orderBy(F.desc("c"), "word").limit(EVENT_WORDS).collect()
+    events = [bytes(r["word"]) for r in top]
+    step = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor((F.log2("c") - 10) * 64))
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).orderBy(F.desc("step")).collect()
     least, held = None, 0
     for r in steps:
         held += r["n"]
         if held > HEAD_WORDS:
             break
-        least = r["c"]
+        least = r["least"]
     rows = [] if least is None else counts.where(F.col("c") >= least).collect()
-    head = {bytes(r["word"]): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], bytes(r["word"])))}
-    events = list(head)[:EVENT_WORDS]
+    head = {bytes(r["word"]): r["c"] for r in rows}
     tail = counts.withColumn("k", F.crc32(F.substring("word", -2, 2)) % CLASSES)
     if events:
         tail = tail.where(~F.col("word").isin(events))
@@ -233,7 +239,7 @@ def summed(counts: DataFrame, ends: int) -> Counted:
         classes[r["k"]] = r["c"], r["n"]
     frequency = np.ones(EVENTS)
     frequency[END] += ends
-    frequency[1 : 1 + len(events)] += [head[w] for w in events]
+    frequency[1 : 1 + len(events)] += [r["c"] for r in top]
     frequency[1 + EVENT_WORDS :] += classes[:, 0]
     return Counted(int(n) + ends, int(v) + (ends > 0), ends, head, events, frequency / frequency.sum(), classes)
 
