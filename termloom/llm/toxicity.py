@@ -14,7 +14,7 @@ times the difference of the softmax's columns; steps use that and stay exact.
 Labelled rows are used up to ``MAX_LABELS`` of each class, chosen by hash of the id.
 Inference reads every whole text once, with the model (4 MB) broadcast.
 
-Texts over 500,000 characters are worked on in parts, with segments begun anew.
+The n-grams of a long text are looked up some segments at a time; that changes no score.
 
 Defined cases: a null or empty text has no segments and the bias's probability;
 equal texts have equal scores; labels of unknown rows and null labels are ignored;
@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.words import parts, slabs, words_of
+from termloom.llm.common import free_name
+from termloom.llm.words import Words, slabs, words_of
 
 SEGMENT = 12
 GRAMS = (3, 4, 5)
@@ -40,6 +41,8 @@ BUCKET_BITS = 17
 WIDTH = 8
 #: Labelled rows of each class that training takes at most.
 MAX_LABELS = 1500
+#: Words of one text whose n-grams are looked up at once; a multiple of SEGMENT.
+HELD_WORDS = 6000 * SEGMENT
 THRESHOLD = 0.7
 _SPREAD = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -67,20 +70,26 @@ class Bags:
 def bags_of(texts: list[str | None]) -> Bags:
     """The n-gram buckets of texts' segments."""
     w = words_of(texts)
-    if not len(w.starts):
+    return _bags(w, 0, len(w.starts))
+
+
+def _bags(w: Words, lo: int, hi: int) -> Bags:
+    """The same of the words ``lo`` to ``hi``, whose first begins a segment."""
+    if lo >= hi:
         return Bags(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    buffer = w.buffer.copy()
+    base = w.starts[lo] - 1
+    starts, ends = w.starts[lo:hi] - base, w.ends[lo:hi] - base
+    b = w.buffer[base : w.ends[hi - 1] + 1].astype(np.uint64)
     # Bytes between words are all alike as borders.
-    border = np.ones(len(buffer), bool)
-    size = w.ends - w.starts
-    within = np.repeat(w.starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    border = np.ones(len(b), bool)
+    size = ends - starts
+    within = np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
     border[within] = False
-    buffer[border] = 32
-    b = buffer.astype(np.uint64)
+    b[border] = 32
     found, at = [], []
     # From the border before a word on, up to the border after it; a word of one letter has one gram of three.
-    spans = np.repeat(w.starts - 1 - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    last = np.repeat(w.ends + 1, size)
+    spans = np.repeat(starts - 1 - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    last = np.repeat(ends + 1, size)
     with np.errstate(over="ignore"):
         for n in GRAMS:
             p = spans[spans + n <= last]
@@ -90,12 +99,12 @@ def bags_of(texts: list[str | None]) -> Bags:
             found.append(((h * _SPREAD) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
             at.append(p)
     buckets, at = np.concatenate(found), np.concatenate(at)
-    place = np.arange(len(w.starts)) - w.first[w.owner]
-    new = np.flatnonzero(place % SEGMENT == 0)
-    segment = np.searchsorted(w.starts[new] - 1, at, "right") - 1
+    owner = w.owner[lo:hi]
+    new = np.flatnonzero((np.arange(lo, hi) - w.first[owner]) % SEGMENT == 0)
+    segment = np.searchsorted(starts[new] - 1, at, "right") - 1
     order = np.argsort(segment, kind="stable")
     sizes = np.bincount(segment, minlength=len(new))
-    return Bags(buckets[order], np.cumsum(sizes) - sizes, sizes, w.owner[new])
+    return Bags(buckets[order], np.cumsum(sizes) - sizes, sizes, owner[new])
 
 
 def segment_logits(bags: Bags, grams: np.ndarray, bias: float) -> np.ndarray:
@@ -163,11 +172,11 @@ def score_texts(texts: list[str | None], grams: np.ndarray, bias: float) -> np.n
     """Each text's worst segment's probability; of a text without words, the bias's."""
     top = np.full(len(texts), -np.inf)
     for a, b in slabs(texts):
-        pieces = [(i, part) for i in range(a, b) for part in parts(texts[i] or "")]
-        for c, d in slabs([x[1] for x in pieces]):
-            bags = bags_of([x[1] for x in pieces[c:d]])
-            owner = np.array([x[0] for x in pieces[c:d]], np.int64)
-            np.maximum.at(top, owner[bags.owner], segment_logits(bags, grams, bias))
+        w = words_of(texts[a:b])
+        step = HELD_WORDS if b - a == 1 else max(len(w.starts), 1)
+        for lo in range(0, len(w.starts), step):
+            bags = _bags(w, lo, min(lo + step, len(w.starts)))
+            np.maximum.at(top, a + bags.owner, segment_logits(bags, grams, bias))
     top[np.isneginf(top)] = bias
     return np.where(np.isneginf(top), 0.0, _sigmoid(top))
 
@@ -205,7 +214,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "s
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those that the model rejects."""
-    return scored(docs, model, name="_tox_score").where(F.col("_tox_score") < threshold).drop("_tox_score")
+    name = free_name(docs.columns, "tox_score")
+    return scored(docs, model, name=name).where(F.col(name) < threshold).drop(name)
 
 
 def op10_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

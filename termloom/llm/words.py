@@ -88,13 +88,3 @@ def slabs(texts: list[str | None], limit: int = SLAB_CHARS) -> Iterator[tuple[in
     if start < len(texts):
         yield start, len(texts)
 
-
-def parts(text: str, limit: int = SLAB_CHARS) -> Iterator[str]:
-    """A long text in parts of about ``limit`` characters, cut at spaces where there are any."""
-    at = 0
-    while len(text) - at > limit:
-        end = text.rfind(" ", at + 1, at + limit)
-        end = at + limit if end < 0 else end
-        yield text[at:end]
-        at = end
-    yield text[at:]
