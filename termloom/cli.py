@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from termloom.operators.classify import ELIGIBILITY, classify
-from termloom.operators.extract import extract, validate
+from termloom.operators.extract import validated
 from termloom.operators.gold import eligibility_groups, promote_eligibility
 from termloom.operators.quality import kpis
 from termloom.schemas import TABLES, ddl
@@ -23,7 +23,7 @@ def run(spark: SparkSession, folder: str, out: str) -> int:
     docs = bronze.ingest(files.withColumn("text", F.decode("content", "UTF-8")), "content", "received_at")
     routed = classify(docs.select("doc_id", "text"))
     known = routed.where((F.col("doc_class") == ELIGIBILITY) & (F.col("profile") == "normalized") & ~F.col("review_required"))
-    silver = validate(known, extract(known))
+    silver = validated(known)
     if not silver.isEmpty():
         write_stage(silver, f"{out}/silver", "validated")
     write_json(promote_eligibility(silver), f"{out}/gold_eligibility")

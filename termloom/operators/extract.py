@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from termloom.functions import text as T
 from termloom.operators.classify import ELIGIBILITY
@@ -49,53 +48,84 @@ def _last(found: Column, label: str) -> Column:
     return F.get(hits, F.size(hits) - 1)["value"]
 
 
-def extract(docs: DataFrame, extractor_version: str = VERSION, constitution_version: str = CONSTITUTION) -> DataFrame:
-    """14 silver rows per ``Asset:`` line of each text: header fields (last line wins) and the line's own.
-
-    Documents without an asset line give no rows; ``extract_errors`` lists them.
-    """
-    lines = docs.select("doc_id", F.posexplode(T.split_lines(F.col("text"))).alias("n", "raw")).select("doc_id", (F.col("n") + 1).alias("line_no"), F.trim("raw").alias("line")).where("line != ''")
-    label = T.label_of(F.col("line"))
-    per_doc = lines.groupBy("doc_id").agg(*[F.max_by(F.struct(T.value_of(F.col("line")).alias("raw"), F.col("line").alias("clause"), "line_no"), F.when(label == name.lower(), F.col("line_no"))).alias(f"h_{field}") for field, name, _ in HEADER_FIELDS])
-    items = lines.where(T.casefold(F.col("line")).startswith("asset:")).withColumn("idx", F.row_number().over(W.partitionBy("doc_id").orderBy("line_no")) - 1).withColumn("found", sections(F.col("line")))
-    blank = F.struct(F.lit("").alias("raw"), F.lit(MISSING).alias("clause"), F.lit(1).alias("line_no"))
+def _rows(docs: DataFrame, extractor_version: str, constitution_version: str) -> DataFrame:
+    """Silver rows and ``expected``, the second derivation's value: one pass over each text, without a join, window or shuffle."""
+    numbered = F.transform(T.split_lines(F.col("text")), lambda x, n: F.struct((n + 1).alias("line_no"), F.trim(x).alias("line"), T.label_of(F.trim(x)).alias("label")))
+    lines = docs.select("doc_id", "text", F.filter(numbered, lambda x: x["line"] != "").alias("lines"))
+    blank = F.struct(F.lit(1).alias("line_no"), F.lit(MISSING).alias("line"), F.lit("").alias("label"))
+    header = []
+    for field, name, kind in HEADER_FIELDS:
+        hits = F.filter("lines", lambda x: x["label"] == name.lower())  # noqa: B023
+        last = F.coalesce(F.get(hits, F.size(hits) - 1), blank)
+        raw = F.when(F.size(hits) > 0, T.value_of(last["line"])).otherwise("")
+        header.append(F.struct(F.lit(field).alias("suffix"), F.lit(kind).alias("kind"), raw.alias("raw"), last["line"].alias("clause"), last["line_no"].alias("at")))
+    told = lines.select("doc_id", F.array(*header).alias("header"), _second_header(F.col("text")).alias("header2"), F.regexp_extract_all("text", F.lit("(?im)^Asset\\s*:\\s*(.+?)\\s*$"), 0).alias("assets2"), F.filter("lines", lambda x: T.casefold(x["line"]).startswith("asset:")).alias("assets"))
+    items = told.select("doc_id", "header", "header2", "assets2", F.posexplode("assets").alias("idx", "a")).select("doc_id", "idx", "header", "header2", F.col("a.line_no").alias("line_no"), F.col("a.line").alias("line"), sections(F.col("a.line")).alias("found"), F.get("assets2", F.col("idx")).alias("line2"))
     fields = []
-    for field, _, kind in HEADER_FIELDS:
-        h = F.coalesce(F.col(f"h_{field}"), blank)
-        fields.append(F.struct(F.lit(field).alias("suffix"), F.lit(kind).alias("kind"), h["raw"].alias("raw"), h["clause"].alias("clause"), h["line_no"].alias("at")))
     for field, name, kind in ITEM_FIELDS:
         raw = F.coalesce(_last(F.col("found"), name), F.lit(""))
         fields.append(F.struct(F.lit(field).alias("suffix"), F.lit(kind).alias("kind"), raw.alias("raw"), F.when(raw != "", F.col("line")).otherwise(MISSING).alias("clause"), F.col("line_no").alias("at")))
-    rows = items.join(per_doc, "doc_id").select("doc_id", "idx", F.explode(F.array(*fields)).alias("f")).select("doc_id", "idx", "f.*")
+    both = F.arrays_zip(F.concat("header", F.array(*fields)).alias("f"), F.concat("header2", _second_item(F.col("line2"))).alias("raw2"))
+    rows = items.select("doc_id", "idx", F.explode(both).alias("z")).select("doc_id", "idx", "z.f.*", "z.raw2")
     path = F.concat(F.lit("eligibility["), F.col("idx").cast("string"), F.lit("]."), F.col("suffix"))
     missing = F.trim("raw") == ""
+    expected = F.when(F.coalesce("raw2", F.lit("")) == "", "not_found").otherwise(normalized(F.col("suffix"), F.col("raw2")))
     return rows.withColumn("field_path", path).select(
         F.substring(F.sha2(F.concat_ws("|", "doc_id", "field_path", F.lit(extractor_version)), 256), 1, 32).alias("extraction_id"), "doc_id", F.lit(ELIGIBILITY).alias("doc_class"),
         F.lit(extractor_version).alias("extractor_version"), F.lit(constitution_version).alias("constitution_version"), "field_path", F.col("raw").alias("raw_value"),
         F.when(missing, "not_found").otherwise(normalized(F.col("suffix"), F.col("raw"))).alias("normalized_value"), F.when(missing, "not_found").otherwise(F.col("kind")).alias("value_type"),
         F.when((F.col("kind") == "percentage") & ~missing, "percent").alias("unit"), F.lit(None).cast("string").alias("currency"), F.col("clause").alias("source_clause"),
         F.concat(F.lit("page=1;line="), F.col("at").cast("string")).alias("source_locator"), F.when(missing, 0.0).otherwise(0.99).alias("confidence"), F.lit(False).alias("ambiguity_flag"), F.lit(None).cast("string").alias("ambiguity_note"),
-        F.lit("pending").alias("validator_status"), F.lit(None).cast("string").alias("corrected_value"), F.lit(None).cast("string").alias("corrected_by"),
+        F.lit("pending").alias("validator_status"), F.lit(None).cast("string").alias("corrected_value"), F.lit(None).cast("string").alias("corrected_by"), F.col("suffix").alias("_suffix"), expected.alias("_expected"),
     )
 
 
+def extract(docs: DataFrame, extractor_version: str = VERSION, constitution_version: str = CONSTITUTION) -> DataFrame:
+    """14 silver rows per ``Asset:`` line of each text: header fields (last line wins) and the line's own.
+
+    Documents without an asset line give no rows; ``extract_errors`` lists them.
+    """
+    return _rows(docs, extractor_version, constitution_version).drop("_suffix", "_expected")
+
+
+def validated(docs: DataFrame, extractor_version: str = VERSION, constitution_version: str = CONSTITUTION) -> DataFrame:
+    """``extract`` and ``validate`` in one pass over the texts."""
+    rows = _rows(docs, extractor_version, constitution_version)
+    ok = (F.col("_expected") == F.col("normalized_value")) & consistent(F.col("_suffix"), effective_value()) & ~F.col("ambiguity_flag")
+    return rows.withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).drop("_suffix", "_expected")
+
+
 def extract_errors(docs: DataFrame) -> DataFrame:
     """doc_id, code of documents that have no asset line."""
     return docs.where(~F.exists(T.split_lines(F.col("text")), lambda x: T.casefold(F.trim(x)).startswith("asset:"))).select("doc_id", F.lit("no_eligibility_rows").alias("code"))
 
 
+def _second_header(text: Column) -> Column:
+    """Raw header values by patterns anchored at line starts; the first one wins."""
+    return F.array(*[F.trim(F.regexp_extract(text, f"(?im)^{label}\\s*:\\s*(.+?)\\s*$", 1)) for _, label, _ in HEADER_FIELDS])
+
+
+def _second_item(line: Column) -> Column:
+    """Raw values of an asset line by a pattern for each label; the last one wins."""
+
+    def value(label: str) -> Column:
+        hits = F.regexp_extract_all(line, F.lit(f"(?i)(?:^|\\|)\\s*{label}\\s*:([^|]*)"), 1)
+        return F.coalesce(F.trim(F.get(hits, F.size(hits) - 1)), F.lit(""))
+
+    return F.array(*[value(label) for _, label, _ in ITEM_FIELDS])
+
+
 def rederived(docs: DataFrame) -> DataFrame:
-    """doc_id, idx, suffix, expected by a second parser that shares no step with the first: patterns anchored at line starts, first header wins."""
-    header = F.array(*[F.struct(F.lit(f).alias("suffix"), F.trim(F.regexp_extract("text", f"(?im)^{label}\\s*:\\s*(.+?)\\s*$", 1)).alias("raw")) for f, label, _ in HEADER_FIELDS])
-    lines = docs.select("doc_id", header.alias("header"), F.posexplode(F.regexp_extract_all("text", F.lit("(?im)^Asset\\s*:\\s*(.+?)\\s*$"), 0)).alias("idx", "line"))
-    found = sections(F.col("line"))
-    item = F.array(*[F.struct(F.lit(f).alias("suffix"), F.coalesce(_last(F.col("found"), label), F.lit("")).alias("raw")) for f, label, _ in ITEM_FIELDS])
-    rows = lines.withColumn("found", found).select("doc_id", "idx", F.explode(F.concat("header", item)).alias("f"))
-    return rows.select("doc_id", "idx", "f.suffix", F.when(F.col("f.raw") == "", "not_found").otherwise(normalized(F.col("f.suffix"), F.col("f.raw"))).alias("expected"))
+    """doc_id, idx, suffix, expected by a second parser: patterns over the text, first header wins. Only the fields' normal forms are the first one's."""
+    lines = docs.select("doc_id", _second_header(F.col("text")).alias("header"), F.posexplode(F.regexp_extract_all("text", F.lit("(?im)^Asset\\s*:\\s*(.+?)\\s*$"), 0)).alias("idx", "line"))
+    names = F.array(*[F.lit(f) for f, _, _ in HEADER_FIELDS + ITEM_FIELDS])
+    both = F.arrays_zip(names.alias("suffix"), F.concat("header", _second_item(F.col("line"))).alias("raw"))
+    rows = lines.select("doc_id", "idx", F.explode(both).alias("f")).select("doc_id", "idx", "f.*")
+    return rows.select("doc_id", "idx", "suffix", F.when(F.col("raw") == "", "not_found").otherwise(normalized(F.col("suffix"), F.col("raw"))).alias("expected"))
 
 
 def validate(docs: DataFrame, silver: DataFrame) -> DataFrame:
-    """Silver rows with a verdict: confirmed where the second derivation agrees, the value is consistent and nothing is ambiguous."""
+    """Silver rows of any origin with a verdict: confirmed where the second derivation agrees, the value is consistent and nothing is ambiguous."""
     theirs = rederived(docs).withColumnRenamed("doc_id", "_d").withColumnRenamed("suffix", "_s")
     idx = F.regexp_extract("field_path", "eligibility\\[(\\d+)\\]\\.(.+)$", 1).try_cast("int")
     name = F.regexp_extract("field_path", "eligibility\\[(\\d+)\\]\\.(.+)$", 2)
@@ -104,6 +134,20 @@ def validate(docs: DataFrame, silver: DataFrame) -> DataFrame:
     return j.withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).select(*silver.columns)
 
 
+def locator(text: Column, clause: Column) -> Column:
+    """Where a clause stands: the first page that holds it and, there, the first line whose text is among the clause's first 48 characters.
+
+    Without such a line the page and the clause's digest; without a page, unresolved. White space is collapsed everywhere.
+    """
+    target = T.collapse(clause)
+    pages = F.transform(F.split(text, "\u000c", -1), lambda p, i: F.struct(p.alias("p"), (i + 1).alias("n")))
+    page = F.get(F.filter(pages, lambda x: F.contains(T.collapse(x["p"]), target)), F.lit(0))
+    lines = F.transform(T.split_lines(page["p"]), lambda x, i: F.struct(T.collapse(x).alias("t"), (i + 1).alias("n")))
+    line = F.get(F.filter(lines, lambda x: (x["t"] != "") & F.contains(F.substring(target, 1, 48), x["t"])), F.lit(0))
+    at = F.concat(F.lit("page="), page["n"].cast("string"), F.lit(";"))
+    return F.when(page.isNull(), "document=all;locator_unresolved").when(line.isNotNull(), F.concat(at, F.lit("line="), line["n"].cast("string"))).otherwise(F.concat(at, F.lit("anchor_sha256="), F.substring(F.sha2(target, 256), 1, 16)))
+
+
 def evidence_verdict(rows: DataFrame) -> DataFrame:
     """Rows (raw_value, source_clause, text, field, value) with ``supported``: the clause stands in the text, the raw value in the clause, and the value is consistent."""
     whole, clause, raw = (T.casefold(T.collapse(F.col(c))) for c in ("text", "source_clause", "raw_value"))

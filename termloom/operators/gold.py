@@ -17,10 +17,11 @@ def _bad() -> Column:
 def _groups(silver: DataFrame, group: str, fields: list[str]) -> DataFrame:
     """One row per (doc_id, idx): each field's effective value, checks and lineage."""
     rows = silver.withColumn("idx", T.group_index(F.col("field_path"), group)).where("idx is not null").withColumn("suffix", T.suffix(F.col("field_path"))).withColumn("eff", effective_value()).withColumn("found", F.col("value_type") != "not_found")
-    per_field = rows.groupBy("doc_id", "idx", "suffix").agg(F.max(F.when(F.col("found"), F.col("eff"))).alias("v"), F.count_if("found").alias("n"), F.bool_or(_bad()).alias("bad"), F.collect_list("extraction_id").alias("all_ids"), F.collect_list(F.when(F.col("found"), F.col("extraction_id"))).alias("ids"), F.max(F.when(F.col("found"), F.col("currency"))).alias("cur"))
-    return per_field.groupBy("doc_id", "idx").agg(
-        *[F.max(F.when(F.col("suffix") == f, F.col("v"))).alias(f) for f in fields], F.max(F.when(F.col("suffix") == {"limit": "limit_value"}.get(group, "required_amount"), F.col("cur"))).alias("_cur"),
-        F.bool_or("bad").alias("_bad"), F.bool_or(F.col("n") > 1).alias("_twice"), F.array_sort(F.flatten(F.collect_list("all_ids"))).alias("_all_ids"), F.array_sort(F.flatten(F.collect_list("ids"))).alias("_ids"),
+    money = F.col("found") & (F.col("suffix") == {"limit": "limit_value"}.get(group, "required_amount"))
+    return rows.groupBy("doc_id", "idx").agg(
+        *[F.max(F.when(F.col("found") & (F.col("suffix") == f), F.col("eff"))).alias(f) for f in fields], F.max(F.when(money, F.col("currency"))).alias("_cur"),
+        F.bool_or(_bad()).alias("_bad"), (F.count_if("found") > F.size(F.collect_set(F.when(F.col("found"), F.col("suffix"))))).alias("_twice"),
+        F.array_sort(F.collect_list("extraction_id")).alias("_all_ids"), F.array_sort(F.collect_list(F.when(F.col("found"), F.col("extraction_id")))).alias("_ids"),
     )
 
 
@@ -90,17 +91,23 @@ def promote_margins(silver: DataFrame, seq: str = "seq") -> DataFrame:
     return j.select("doc_id", "idx", "counterparty", "agreement_id", "csa_schedule_ref", "netting_set_id", "margin_type", amount.alias("required_amount"), currency.alias("currency"), "risk_class", F.col("c_model").alias("model"), F.col("c_regulatory_regime").alias("regulatory_regime"), valued.alias("valuation_date"), F.coalesce(valued, T.iso_date(F.col("c_as_of_date"))).alias("valid_from"), "silver_extraction_ids", error.alias("error"))
 
 
-def close_versions(rows: DataFrame, key: list[str], since: str = "knowledge_from", until: str = "knowledge_to") -> tuple[DataFrame, DataFrame]:
-    """Rows with each version closed by the next of its key (nulls are alike), and the rows that are not later than another of their key.
+def close_versions(rows: DataFrame, key: list[str], seq: list[str], since: str = "knowledge_from", until: str = "knowledge_to") -> tuple[DataFrame, DataFrame]:
+    """Rows as they come (by ``seq``), each version closed by the next of its key (nulls are alike), and the rows that are refused.
 
-    One window over the key serves both.
+    A row is refused where it isn't later than the open version of its key: of equal
+    times the first stays, and a backdated version is none. Rows that are closed already
+    bar no later ones. One shuffle by key serves both.
     """
-    w = W.partitionBy(*key).orderBy(since)
-    n = F.count(F.lit(1)).over(W.partitionBy(*key, since))
-    marked = rows.withColumn("_n", n).withColumn("_next", F.lead(since).over(w))
+    order = W.partitionBy(*key).orderBy(*seq)
     old = F.col(until) if until in rows.columns else F.lit(None).cast("timestamp")
-    good = marked.where("_n = 1").withColumn(until, F.coalesce(old, F.col("_next"))).drop("_n", "_next")
-    return good, marked.where("_n > 1").drop("_n", "_next")
+    open_ = F.max(F.when(old.isNull(), F.col(since))).over(order.rowsBetween(W.unboundedPreceding, -1))
+    marked = rows.withColumn("_open", open_)
+    marked = marked.withColumn("_good", F.coalesce(old.isNotNull() | F.col("_open").isNull() | (F.col(since) > F.col("_open")), F.lit(False)))
+    # Good open versions get later and later, so the next good one of a key is the one that closes.
+    following = F.min(F.when(F.col("_good") & old.isNull(), F.col(since))).over(W.partitionBy(*key).orderBy(F.desc("_turn")).rowsBetween(W.unboundedPreceding, -1))
+    marked = marked.withColumn("_turn", F.row_number().over(order)).withColumn("_next", following)
+    good = marked.where("_good").withColumn(until, F.coalesce(old, F.col("_next"))).drop("_open", "_good", "_turn", "_next")
+    return good, marked.where("not _good").drop("_open", "_good", "_turn", "_next")
 
 
 def active(rows: DataFrame) -> DataFrame:

@@ -18,8 +18,12 @@ def correction_errors(silver: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def apply_corrections(silver: DataFrame, requests: DataFrame) -> DataFrame:
-    """Silver rows after requests (extraction_id, action, new_value, reviewer): confirm and dispute clear a correction, correct sets it."""
-    r = requests.select(F.col("extraction_id").alias("_e"), "action", "new_value", "reviewer")
+    """Silver rows after requests (extraction_id, action, new_value, reviewer): confirm and dispute clear a correction, correct sets it.
+
+    Requests that ``correction_errors`` names change nothing: of several for one row none counts.
+    """
+    wrong = correction_errors(silver, requests).select("extraction_id").distinct()
+    r = requests.join(wrong, "extraction_id", "left_anti").select(F.col("extraction_id").alias("_e"), "action", "new_value", "reviewer")
     j = silver.join(r, F.col("extraction_id") == F.col("_e"), "left")
     fixed = F.col("action") == "correct"
     return j.withColumns({

@@ -53,13 +53,14 @@ def layout_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def layout_quality(docs: DataFrame, floor: float = 0.95, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: pages, lines, mean confidence, issues and status; a blank page fails."""
+    """Per document: pages, lines, characters, mean confidence, issues and status; text without a character, and a page without a line, fail."""
     by_page = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(pages(F.col(text))).alias("page", "body"))
-    told = by_page.select("doc_id", F.size(T.split_lines(F.col("body"))).alias("n"), (F.length(F.trim(F.regexp_replace("body", "\\s", ""))) == 0).alias("blank"))
-    sums = told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n").alias("n_lines"), F.sum(F.col("blank").cast("int")).alias("n_blank"))
+    told = by_page.select("doc_id", T.split_lines(F.col("body")).alias("ls"))
+    told = told.select("doc_id", F.size("ls").alias("n"), F.aggregate("ls", F.lit(0), lambda s, x: s + F.length(x)).alias("chars"))
+    sums = told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sum("n").alias("n_lines"), F.sum("chars").alias("n_characters"), F.count_if(F.col("n") == 0).alias("n_empty"))
     mean = F.when(F.col("n_lines") > 0, 1.0).otherwise(0.0)
-    issues = F.array_compact(F.array(F.when(F.col("n_blank") > 0, "blank_page"), F.when(mean < floor, "low_confidence")))
-    return sums.select("doc_id", "n_pages", "n_lines", mean.alias("mean_confidence"), F.array_join(issues, ",").alias("issues"), F.when(F.size(issues) == 0, "passed").otherwise("failed").alias("status"))
+    issues = F.array_compact(F.array(F.when(F.col("n_characters") == 0, "no_text_coordinates"), F.when(F.col("n_empty") > 0, "missing_reading_order"), F.when(mean < floor, "low_layout_confidence")))
+    return sums.select("doc_id", "n_pages", "n_lines", "n_characters", mean.alias("mean_confidence"), F.array_join(issues, ",").alias("issues"), F.when(F.size(issues) == 0, "passed").otherwise("failed").alias("status"))
 
 
 def clustered_lines(words: DataFrame, page: str, tolerance: float = 6.0) -> DataFrame:

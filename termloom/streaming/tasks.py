@@ -26,7 +26,12 @@ def landed(spark: SparkSession, path: str, watermark: str = "1 day") -> DataFram
 
 
 def task_states(attempts: DataFrame, key: str = "doc_id", order: str = "seq", status: str = "status") -> DataFrame:
-    """Per key and batch the state after its attempts; illegal ones are refused and counted. Equal to the batch fold over all attempts."""
+    """Per key and batch the state after its attempts; illegal ones are refused and counted.
+
+    Attempts are taken in order within a batch, and batches as they come: equal to the
+    batch fold where no attempt comes in a later batch than one after it. The state is a
+    word and a number a task; a task that has ended takes no more of it than that.
+    """
     legal = STEPS | {("", STATES[0])}
     kind = attempts.schema[key].dataType.simpleString()
 
@@ -43,11 +48,11 @@ def task_states(attempts: DataFrame, key: str = "doc_id", order: str = "seq", st
     return attempts.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, state string, refused int", "state string, refused int", "update", "NoTimeout")
 
 
-def close_into(table, key: list[str]):  # noqa: ANN001, ANN201
-    """A foreachBatch function that adds each batch's versions to a snapshot table."""
+def close_into(table, key: list[str], seq: list[str]):  # noqa: ANN001, ANN201
+    """A foreachBatch function that adds each batch's versions, in order of ``seq``, to a snapshot table."""
 
     def batch(rows: DataFrame, epoch: int) -> None:
         if not rows.isEmpty():
-            table.upsert(rows, key)
+            table.upsert(rows, key, seq)
 
     return batch

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from termloom.operators import classify, extract, gold, learning, platinum, quality, recall, tables, workflow
 from termloom.schemas import TABLES, ddl, silver_rules, split_valid
 from termloom.sources import bronze
-from termloom.sources.store import SnapshotTable, append_log, latest_stage, read_json, write_json, write_stage
+from termloom.sources.store import Conflict, SnapshotTable, append_log, latest_stage, passed_layouts, read_json, read_layouts, read_log, read_stages, write_json, write_once, write_per_document, write_sorted, write_stage
 
 TEXT = """Collateral Eligibility Schedule
 Eligible Collateral
@@ -61,24 +61,48 @@ def test_promotion_and_errors(docs):
 
 def test_versions_close_and_as_of(spark):
     ts = lambda d: dt.datetime(2026, 7, d)
-    rows = spark.createDataFrame([("a", None, ts(1)), ("a", None, ts(5)), ("b", "x", ts(2)), ("b", "x", ts(2))], "k string, j string, knowledge_from timestamp")
-    good, bad = gold.close_versions(rows, ["k", "j"])
-    assert sorted((r.knowledge_from, r.knowledge_to) for r in good.collect()) == [(ts(1), ts(5)), (ts(5), None)]
-    assert bad.count() == 2
-    assert [r.knowledge_from for r in gold.as_of(good, F.lit(ts(5))).collect()] == [ts(5)]
-    assert [r.knowledge_from for r in gold.active(good).collect()] == [ts(5)]
+    kinds = "n int, k string, j string, knowledge_from timestamp"
+    rows = spark.createDataFrame([(1, "a", None, ts(1)), (2, "a", None, ts(5)), (3, "b", "x", ts(2)), (4, "b", "x", ts(2)), (5, "a", None, ts(3)), (6, "a", None, ts(7))], kinds)
+    good, bad = gold.close_versions(rows, ["k", "j"], ["n"])
+    # Of equal times the first stays open; a backdated version is refused and closes nothing.
+    assert sorted((r.n, r.knowledge_to) for r in good.collect()) == [(1, ts(5)), (2, ts(7)), (3, None), (6, None)]
+    assert sorted(r.n for r in bad.collect()) == [4, 5]
+    assert [r.knowledge_from for r in gold.as_of(good.where("k = 'a'"), F.lit(ts(5))).collect()] == [ts(5)]
+    assert sorted(r.n for r in gold.active(good).collect()) == [3, 6]
+    # A version that is closed already bars no later one.
+    shut = rows.withColumn("knowledge_to", F.when(F.col("n") == 2, F.lit(ts(6))))
+    good, bad = gold.close_versions(shut, ["k", "j"], ["n"])
+    assert sorted((r.n, r.knowledge_to) for r in good.where("k = 'a'").collect()) == [(1, ts(3)), (2, ts(6)), (5, ts(7)), (6, None)]
+    rng = __import__("random").Random(3)
+    many = [(n, rng.choice("ab"), None, ts(rng.randint(1, 28))) for n in range(60)]
+    kept: dict = {}
+    for n, k, _, t in many:
+        held = kept.setdefault(k, [])
+        if not held or t > held[-1][1]:
+            if held:
+                held[-1][2] = t
+            held.append([n, t, None])
+    good, bad = gold.close_versions(spark.createDataFrame(many, kinds), ["k", "j"], ["n"])
+    assert sorted((r.n, r.knowledge_to) for r in good.collect()) == sorted((n, to) for v in kept.values() for n, _, to in v)
+    assert bad.count() == 60 - good.count()
 
 
 def test_snapshot_store(spark, tmp_path):
     t = SnapshotTable(spark, str(tmp_path / "t"), "k string, knowledge_from timestamp, knowledge_to timestamp")
     assert t.read().count() == 0
     one = spark.createDataFrame([("a", dt.datetime(2026, 7, 1), None)], t.schema)
-    t.upsert(one, ["k"])
-    t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, 5), None)], t.schema), ["k"])
+    t.upsert(one, ["k"], ["knowledge_from"])
+    t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, 5), None)], t.schema), ["k"], ["knowledge_from"])
     assert t.version() == 1 and t.read(0).count() == 1
     assert sorted(r.knowledge_to is None for r in t.read().collect()) == [False, True]
-    with pytest.raises(ValueError, match="later"):
-        t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, 5), None)], t.schema), ["k"])
+    for day in (5, 3):
+        with pytest.raises(ValueError, match="later"):
+            t.upsert(spark.createDataFrame([("a", dt.datetime(2026, 7, day), None)], t.schema), ["k"], ["knowledge_from"])
+    # Of two writers that began from one version the second is refused.
+    t.commit(one, 1)
+    with pytest.raises(Conflict):
+        t.commit(one, 1)
+    assert t.version() == 2 and t.read().count() == 1
 
 
 def test_stages_logs_json(spark, tmp_path):
@@ -86,17 +110,44 @@ def test_stages_logs_json(spark, tmp_path):
     path = str(tmp_path / "s")
     write_stage(rows, path, "validated")
     write_stage(rows.where("doc_id = 'd1'").withColumn("v", F.lit(9)), path, "reviewed")
-    got = {(r.doc_id, r.v) for r in latest_stage(spark.read.parquet(path)).collect()}
+    kinds = "doc_id string, doc_class string, v int"
+    got = {(r.doc_id, r.v) for r in latest_stage(read_stages(spark, path, kinds)).collect()}
     assert got == {("d1", 9), ("d2", 2)}
+    # Rows of one document replace its own, and none of another of the class and stage.
+    for d in range(3, 90):
+        if d < 6:
+            write_stage(spark.createDataFrame([(f"d{d}", "c", d), (f"d{d}", "c", d + 1)], kinds), path, "validated")
+    write_stage(spark.createDataFrame([(f"d{d}", "c", d) for d in range(6, 200)] + [("d2", "c", 7)], kinds), path, "validated")
+    got = sorted((r.doc_id, r.v) for r in read_stages(spark, path, kinds).where("stage = 'validated'").collect())
+    assert got == sorted([("d1", 1), ("d2", 7)] + [(f"d{d}", d + k) for d in (3, 4, 5) for k in (0, 1)] + [(f"d{d}", d) for d in range(6, 200)])
+    assert read_stages(spark, str(tmp_path / "none"), kinds).count() == 0
     with pytest.raises(ValueError, match="no silver"):
         write_stage(rows.where("false"), path, "validated")
     append_log(rows, str(tmp_path / "log"))
     append_log(rows, str(tmp_path / "log"))
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
+    assert read_log(spark, str(tmp_path / "log"), kinds).count() == 4 and read_log(spark, str(tmp_path / "log"), kinds, "d1").count() == 2
+    assert read_log(spark, str(tmp_path / "nolog"), kinds).count() == 0
+    write_sorted(rows, str(tmp_path / "m"), ["v"])
+    assert [r.v for r in spark.read.parquet(str(tmp_path / "m")).collect()] == [1, 2]
+    write_per_document(rows, str(tmp_path / "calls"))
+    write_per_document(rows.where("doc_id = 'd1'").withColumn("v", F.lit(5)), str(tmp_path / "calls"))
+    assert sorted(r.v for r in spark.read.json(str(tmp_path / "calls")).collect()) == [2, 5]
+    assert write_once(spark, str(tmp_path / "w/a.txt"), b"abc") and not write_once(spark, str(tmp_path / "w/a.txt"), b"abc")
+    with pytest.raises(ValueError, match="may not change"):
+        write_once(spark, str(tmp_path / "w/a.txt"), b"abd")
     write_json(rows, str(tmp_path / "j"))
     assert read_json(spark, str(tmp_path / "j"), "doc_id string, doc_class string, v int").count() == 2
 
 
+def test_layout_files(spark, tmp_path):
+    page = lambda c, *texts: {"page": 1, "width": 1.0, "height": 1.0, "lines": [{"line": i, "text": t, "locator": "x", "confidence": c, "tokens": []} for i, t in enumerate(texts)]}
+    for name, adapter, pages, quality in (("a", "text", [page(1.0, "x")], None), ("b", "tesseract-ocr", [page(0.85, "x")], None), ("c", "text", [page(0.85, "x")], None), ("d", "text", [page(1.0)], None), ("e", "text", [page(1.0, "x")], {"status": "failed", "mean_confidence": 0.1, "issues": ["z"]})):
+        (tmp_path / f"{name}.json").write_text(__import__("json").dumps({"doc_id": name, "adapter": adapter, "adapter_version": "1", "pages": pages} | ({"quality": quality} if quality else {})))
+    good, bad = passed_layouts(read_layouts(spark, str(tmp_path)))
+    assert sorted(r.doc_id for r in good.collect()) == ["a", "b"]
+    assert sorted((r.doc_id, r.problem) for r in bad.collect()) == [("c", "low_layout_confidence"), ("d", "no_text_coordinates,missing_reading_order,low_layout_confidence"), ("e", "z")]
+
+
 def test_landing_and_ingest(spark, tmp_path):
     for name, body in (("a.txt", "x"), ("b.md", "x"), ("README.md", "r"), (".hidden.txt", "h"), ("c.csv", "c"), ("d.PDF", "p")):
         (tmp_path / name).write_text(body)
@@ -111,7 +162,7 @@ def test_layout(spark):
     got = [(r.page, r.line, r.n_tokens) for r in bronze.layout_lines(d).orderBy("page", "line").collect()]
     assert got == [(1, 1, 2), (1, 2, 0), (1, 3, 1), (3, 1, 1)]
     q = bronze.layout_quality(d).first()
-    assert (q.n_pages, q.n_lines, q.status, q.issues) == (3, 4, "failed", "blank_page")
+    assert (q.n_pages, q.n_lines, q.status, q.issues) == (3, 4, "failed", "missing_reading_order")
 
 
 def test_line_clustering_is_a_loop(spark):
@@ -134,10 +185,11 @@ def test_line_clustering_is_a_loop(spark):
 
 
 def test_percent_table(spark):
-    text = "Start\nSecurity Type Remaining Maturity Haircut\nTreasury Bills\nwith short terms\n0-1 2%\nAgency Debentures 5.5%\nZ 7%\nend here\n9%"
+    text = "Start\nSecurity Type Remaining Maturity Haircut\nTreasury Bills\nwith short terms\n0-1 2%\nzero to 1 year remaining 3%\nrated AA or better 4%\nDebentures 5.5%\nZ 7%\nAgency notes 8%\nend here\n9%"
     d = spark.createDataFrame([("d", text)], "doc_id string, text string")
     got = [(r.entry, r.description, r.haircut) for r in tables.percent_entries(d, tables.section(F.col("text"), "Security", "end here")).orderBy("entry").collect()]
-    assert got == [(1, "Treasury Bills with short terms 0-1", "2"), (2, "Agency Debentures", "5.5"), (3, "Agency Debentures Z", "7")]
+    head = "Treasury Bills with short terms "
+    assert got == [(1, head + "0-1", "2"), (2, head + "zero to 1 year remaining", "3"), (3, head + "rated AA or better", "4"), (4, "Debentures", "5.5"), (5, "Debentures Z", "7"), (6, "Debentures Agency notes", "8")]
 
 
 def test_reindexed(spark):
