@@ -148,8 +148,21 @@ def locator(text: Column, clause: Column) -> Column:
     return F.when(page.isNull(), "document=all;locator_unresolved").when(line.isNotNull(), F.concat(at, F.lit("line="), line["n"].cast("string"))).otherwise(F.concat(at, F.lit("anchor_sha256="), F.substring(F.sha2(target, 256), 1, 16)))
 
 
+def plausible(field: Column, value: Column) -> Column:
+    """Percentages lie in 0 to 100, eligibility is true or false, and a first day is an ISO date."""
+    pct = F.coalesce(T.number(value).between(0, 100), F.lit(False))
+    return F.when(field.isin("haircut_pct", "concentration_limit_pct"), pct).when(field == "eligible", value.isin("true", "false")).when(field == "valid_from", T.iso_date(value).isNotNull()).otherwise(True)
+
+
+def evidence_validated(docs: DataFrame, silver: DataFrame) -> DataFrame:
+    """Silver rows confirmed where they are not found or their evidence supports them, and disputed otherwise."""
+    rows = silver.join(docs.select(F.col("doc_id").alias("_d"), "text"), F.col("doc_id") == F.col("_d")).withColumn("field", T.suffix(F.col("field_path"))).withColumn("value", F.col("normalized_value"))
+    ok = (F.col("value_type") == "not_found") | F.col("supported")
+    return evidence_verdict(rows).withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).select(*silver.columns)
+
+
 def evidence_verdict(rows: DataFrame) -> DataFrame:
-    """Rows (raw_value, source_clause, text, field, value) with ``supported``: the clause stands in the text, the raw value in the clause, and the value is consistent."""
+    """Rows (raw_value, source_clause, text, field, value) with ``supported``: the clause stands in the text, the raw value in the clause, and the value is plausible."""
     whole, clause, raw = (T.casefold(T.collapse(F.col(c))) for c in ("text", "source_clause", "raw_value"))
     field = F.col("field")
     word = lambda low: F.filter(F.regexp_extract_all(raw, F.lit("([a-z0-9]+)"), 1), lambda w: F.length(w) >= low)
@@ -161,4 +174,4 @@ def evidence_verdict(rows: DataFrame) -> DataFrame:
         .when(field == "concentration_basis", F.exists(basis, lambda w: F.contains(clause, w)))
         .otherwise(F.contains(clause, raw))
     )
-    return rows.withColumn("supported", F.contains(whole, clause) & backed & consistent(field, F.col("value")))
+    return rows.withColumn("supported", F.contains(whole, clause) & backed & plausible(field, F.col("value")))

@@ -156,7 +156,7 @@ def adversarial_validate(spark: SparkSession, sf: str) -> DataFrame:
     return _validated(spark, sf).select("extraction_id", "field_path", "normalized_value", "validator_status")
 
 
-@query(f"WITH {SILVER_SQL} SELECT extraction_id, NOT (suffix = 'haircut_pct' AND val = '150') AND NOT (idx % 3 = 1 AND suffix <> 'eligible') AND idx % 5 <> 4 AS supported FROM silver WHERE raw <> ''")
+@query(f"WITH {SILVER_SQL} SELECT extraction_id, NOT (suffix = 'haircut_pct' AND val = '150') AND NOT (suffix = 'eligible' AND val NOT IN ('true', 'false')) AND NOT (idx % 3 = 1 AND suffix <> 'eligible') AND idx % 5 <> 4 AS supported FROM silver WHERE raw <> ''")
 def evidence_validate(spark: SparkSession, sf: str) -> DataFrame:
     """Silver rows with planted faults: raw values that their clauses lack (which only an eligible flag survives), and clauses that the text lacks."""
     d = FX.schedules(spark, sf)
@@ -554,3 +554,5 @@ def recall_predictions(spark: SparkSession, sf: str) -> DataFrame:
     reasons = F.when(F.col("disc") > 0.05, F.array(F.lit("HIGH_DISCOUNT"))).otherwise(F.array().cast("array<string>"))
     p = {h: F.col("disc") * h for h in R.HORIZONS}
     return R.predictions(_loans(spark, sf), p, reasons).select("loan", "max_probability", "band", "reasons", "error")
+
+from termloom.plans import contracts  # noqa: E402, F401  (registers its queries)

@@ -23,7 +23,27 @@ MARGIN = (
     "counterparty string, agreement_id string, csa_schedule_ref string, netting_set_id string, margin_type string, required_amount double, currency string, risk_class string, model string, "
     "regulatory_regime string, valuation_date date, valid_from date, valid_to date, knowledge_from timestamp, knowledge_to timestamp, silver_extraction_ids array<string>, doc_id string"
 )
-TABLES = {"silver_extraction": SILVER, "gold_eligibility_term": ELIGIBILITY, "gold_collateral_limit": LIMIT, "gold_margin_requirement": MARGIN}
+#: The other tables.
+BRONZE = "doc_id string, source string, counterparty string, doc_class_hint string, file_uri string, file_hash string, page_count int, received_at timestamp, text_artifact_uri string, layout_artifact_uri string"
+TASK = "doc_id string, status string, updated_at timestamp, error string"
+DECISION = "doc_id string, approved boolean, decided_by string, decided_at timestamp, note string"
+GOLDEN_RESULT = "run_id string, doc_class string, extractor_version string, constitution_version string, document_count int, owner_verified_document_count int, total_fields int, correct_fields int, field_accuracy double, run_at timestamp, release_blocked boolean"
+MODEL_CALL = "doc_id string, role string, provider string, model string, session_id string, response_id string, prompt_version string, schema_version string, constitution_version string, language string, request_hash string, response_hash string, created_at timestamp, latency_ms long, input_tokens long, output_tokens long, total_tokens long"
+CORRECTION = "doc_id string, extraction_id string, field_path string, action string, reviewer string, decided_at timestamp, previous_status string, previous_value string, corrected_value string, note string"
+
+#: Tables by name: columns, those that may be null, and what must hold.
+TABLES = {
+    "bronze_documents": (BRONZE, ["counterparty", "doc_class_hint", "page_count", "text_artifact_uri", "layout_artifact_uri"], {}),
+    "silver_extractions": (SILVER, ["raw_value", "unit", "currency", "ambiguity_note", "corrected_value", "corrected_by", "created_at"], {"valid_confidence": "confidence BETWEEN 0.0 AND 1.0", "valid_validator_status": "validator_status IN ('pending', 'confirmed', 'disputed', 'corrected')"}),
+    "gold_eligibility_terms": (ELIGIBILITY, ["haircut_pct", "concentration_limit_pct", "concentration_basis", "currency_scope", "rating_floor", "tenor_cap_days", "valid_to", "knowledge_to"], {"valid_haircut": "haircut_pct IS NULL OR haircut_pct BETWEEN 0.0 AND 100.0", "valid_concentration": "concentration_limit_pct IS NULL OR concentration_limit_pct BETWEEN 0.0 AND 100.0", "valid_valid_time": "valid_to IS NULL OR valid_from <= valid_to", "valid_knowledge_time": "knowledge_to IS NULL OR knowledge_from <= knowledge_to"}),
+    "workflow_tasks": (TASK, ["error"], {"valid_task_status": "status IN ('landed', 'classified', 'extracted', 'validated', 'gate_a_pending', 'gate_a_approved', 'gold_landed', 'failed')"}),
+    "gate_a_decisions": (DECISION, ["note"], {}),
+    "golden_set_results": (GOLDEN_RESULT, [], {}),
+    "semantic_model_calls": (MODEL_CALL, ["latency_ms", "input_tokens", "output_tokens", "total_tokens"], {"valid_semantic_role": "role IN ('extractor', 'validator')"}),
+    "correction_actions": (CORRECTION, ["corrected_value", "note"], {"valid_correction_action": "action IN ('confirm', 'correct', 'dispute')", "valid_previous_status": "previous_status IN ('pending', 'confirmed', 'disputed', 'corrected')"}),
+    "gold_collateral_limits": (LIMIT, ["scope_value", "limit_currency", "basis", "aggregation", "counterparty", "agreement_id", "schedule_version", "clearing_house", "valid_from", "valid_to", "knowledge_to"], {"valid_limit_unit": "limit_unit IN ('percent', 'absolute')", "valid_percent_limit": "limit_unit <> 'percent' OR limit_value BETWEEN 0.0 AND 100.0", "valid_absolute_limit": "limit_unit <> 'absolute' OR (limit_value >= 0.0 AND limit_currency IS NOT NULL)", "valid_limit_valid_time": "valid_to IS NULL OR valid_from <= valid_to", "valid_limit_knowledge_time": "knowledge_to IS NULL OR knowledge_from <= knowledge_to"}),
+    "gold_margin_requirements": (MARGIN, ["agreement_id", "csa_schedule_ref", "netting_set_id", "risk_class", "model", "regulatory_regime", "valuation_date", "valid_from", "valid_to", "knowledge_to"], {"valid_required_amount": "required_amount >= 0.0", "valid_margin_valid_time": "valid_to IS NULL OR valid_from <= valid_to", "valid_margin_knowledge_time": "knowledge_to IS NULL OR knowledge_from <= knowledge_to"}),
+}
 
 #: Keys by which a gold row's versions follow each other.
 GOLD_KEYS = {
@@ -51,8 +71,6 @@ def present(name: str) -> Column:
     return F.coalesce(F.trim(F.col(name)), F.lit("")) != ""
 
 
-
-
 def silver_rules() -> list[tuple[str, Column]]:
     """Made on demand: columns need a running session."""
     lineage = ["extraction_id", "doc_id", "doc_class", "extractor_version", "constitution_version", "field_path", "source_clause", "source_locator"]
@@ -80,5 +98,15 @@ def split_valid(df: DataFrame, rules: list[tuple[str, Column]]) -> tuple[DataFra
 
 
 def ddl(name: str) -> str:
-    """CREATE TABLE text of a table."""
-    return f"CREATE TABLE {name} (\n  " + ",\n  ".join(TABLES[name].split(", ")) + "\n) USING parquet"
+    """CREATE TABLE text of a table, with its constraints as comments: plain Parquet tables hold none, ``table_rules`` checks them."""
+    columns, maybe, rules = TABLES[name]
+    lines = [c + ("" if c.split(" ")[0] in maybe else " NOT NULL") for c in columns.split(", ")]
+    told = "".join(f"\n-- {k}: {v}" for k, v in rules.items())
+    return f"CREATE TABLE {name} (\n  " + ",\n  ".join(lines) + f"\n) USING parquet{told}"
+
+
+def table_rules(name: str) -> list[tuple[str, Column]]:
+    """A table's constraints as predicates: columns that may not be null, then its own rules; as in SQL an unknown outcome of those passes."""
+    columns, maybe, rules = TABLES[name]
+    needed = [c.split(" ")[0] for c in columns.split(", ") if c.split(" ")[0] not in maybe]
+    return [(f"missing:{c}", F.col(c).isNotNull()) for c in needed] + [(k, F.coalesce(F.expr(v), F.lit(True))) for k, v in rules.items()]

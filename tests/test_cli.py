@@ -4,7 +4,7 @@ from test_engine import TEXT
 
 def test_ddl(capsys):
     assert cli.main(["ddl"]) == 0
-    assert capsys.readouterr().out.count("CREATE TABLE") == 4
+    assert capsys.readouterr().out.count("CREATE TABLE") == 10
 
 
 def test_run(spark, tmp_path):
