@@ -9,9 +9,12 @@ chunk, and ends one: the fewest lines from it on, or up to it, that hold ``PASSA
 words. A passage of that many words that repeats is covered by such chunks, whatever
 lines stand around it; one line that holds as many is one.
 
-Chunks are counted by hash over all documents; those that occur again are compared as
-bytes, and all but the first occurrence (by doc_id, then text digest, then line) are
-removed. Some occurrence of each line always stays: the first one of all is never removed.
+Chunks are counted by hash over all documents. Of those that occur again all but the first
+occurrence (by doc_id, then text digest, then line) are removed, where they are equal in
+bytes: they have the same lines by hash, one by one, and each line of them is compared as
+bytes with all others of its hash, so every line goes to that comparison once, however
+many chunks hold it. (A chunk with a line whose hash is another line's too stays.) Some
+occurrence of each line always stays: the first one of all is never removed.
 
 Chunks of many occurrences are split: a chunk's occurrences are dealt to one part for each
 ``PART`` of them, and the few that hold a large share of all are joined by broadcast.
@@ -32,7 +35,7 @@ from termloom.llm.common import spread_join, written
 #: A repeated chunk of so many words counts even where it is one line.
 PASSAGE_WORDS = 50
 #: Lines in each rolling hash's window, and its multiplier.
-CUTTERS = [(2, 1_103_515_245), (2, 69_069), (3, 214_013), (3, 134_775_813)]
+CUTTERS = [(2, 1_103_515_245), (3, 214_013)]
 PRIME = (1 << 31) - 1
 #: Occurrences of a chunk that are compared in one part.
 PART = 1000
@@ -49,6 +52,11 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("long")
 
 
+def identities(lines: Column) -> Column:
+    """64 bits of each line's hash."""
+    return F.transform(lines, lambda line: F.xxhash64(line))
+
+
 def word_count(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
@@ -74,21 +82,21 @@ def _passage(words: Column, i: Column, step: int) -> Column:
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The chunks of every document that may be removed: _ld_row, _ld_from, _ld_to (lines from 1) and _ld_key; no shuffle but to drop equal rows."""
+    """The chunks of every document that may be removed: _ld_row, _ld_from, _ld_to (lines from 1) and _ld_key; rows equal in id and text give theirs each. No shuffle."""
     base = docs.where(F.col(text_col).isNotNull()).select(_digest(id_col, text_col).alias("_ld_row"), F.split(text_col, "\n", -1).alias("_ld_all"))
-    lines = base.select("_ld_row", F.transform("_ld_all", line_hash).alias("_ld_h"), F.transform("_ld_all", word_count).alias("_ld_w"))
-    h, w = F.col("_ld_h"), F.col("_ld_w")
+    lines = base.select("_ld_row", F.transform("_ld_all", line_hash).alias("_ld_h"), F.transform("_ld_all", word_count).alias("_ld_w"), identities(F.col("_ld_all")).alias("_ld_x"))
+    h, w, x = F.col("_ld_h"), F.col("_ld_w"), F.col("_ld_x")
     places = F.sequence(F.lit(0), F.size(h) - 1)
     ends = [F.filter(places, lambda i: (i == F.size(h) - 1) | (_rolled(h, i, window, by) % 2 == 0)).alias(f"_ld_e{k}") for k, (window, by) in enumerate(CUTTERS)]
     ahead = F.transform(places, lambda i: F.struct(i.alias("a"), (i + _passage(w, i, 1) - 1).alias("b")))
     back = F.transform(places, lambda i: F.struct((i - _passage(w, i, -1) + 1).alias("a"), i.alias("b")))
-    lines = lines.select("_ld_row", "_ld_h", *ends, F.filter(F.concat(ahead, back), lambda s: s["a"].isNotNull() & s["b"].isNotNull()).alias("_ld_p"))
+    lines = lines.select("_ld_row", "_ld_x", *ends, F.filter(F.concat(ahead, back), lambda s: s["a"].isNotNull() & s["b"].isNotNull()).alias("_ld_p"))
     # A chunk begins after the end before it.
     cut = [F.filter(F.transform(f"_ld_e{k}", lambda b, j: F.struct(F.coalesce(F.get(F.col(f"_ld_e{k}"), j - 1) + 1, F.lit(0)).alias("a"), b.alias("b"))), lambda s: s["b"] > s["a"]) for k in range(len(CUTTERS))]
-    spans = lines.select("_ld_row", "_ld_h", F.array_distinct(F.concat("_ld_p", *cut)).alias("_ld_s"))
-    key = lambda s: F.xxhash64(F.slice(h, s["a"] + 1, s["b"] - s["a"] + 1))
+    spans = lines.select("_ld_row", "_ld_x", F.array_distinct(F.concat("_ld_p", *cut)).alias("_ld_s"))
+    key = lambda s: F.xxhash64(F.slice(x, s["a"] + 1, s["b"] - s["a"] + 1))
     each = spans.select("_ld_row", F.explode(F.transform("_ld_s", lambda s: F.struct((s["a"] + 1).alias("a"), (s["b"] + 1).alias("b"), key(s).alias("k")))).alias("s"))
-    return each.select("_ld_row", F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.col("s.k").alias("_ld_key")).distinct()
+    return each.select("_ld_row", F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.col("s.k").alias("_ld_key"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,28 +104,31 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cut = written(chunks(docs, id_col, text_col), "line-chunks")
     again = written(cut.groupBy("_ld_key").agg(F.count(F.lit(1)).alias("_ld_n")).where("_ld_n > 1"), "line-repeats")
     spans = spread_join(cut, again, "_ld_key", "_ld_n", cut.count())
-    wanted = spans.groupBy("_ld_row").agg(F.collect_list(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_key").alias("k"), F.col("_ld_n").alias("n"))).alias("_ld_spans"))
+    wanted = spans.groupBy("_ld_row").agg(F.collect_set(F.struct(F.col("_ld_from").alias("a"), F.col("_ld_to").alias("b"), F.col("_ld_n").alias("n"))).alias("_ld_spans"))
     keyed = docs.withColumn("_ld_row", _digest(id_col, text_col))
     lines = F.split(text_col, "\n", -1)
     # With the id taken from here, this join and the last one shuffle the same columns: Spark then does it once.
-    bytes_ = keyed.join(wanted, "_ld_row").select("_ld_row", F.col(id_col).alias("_ld_id"), lines.alias("_ld_all"), F.explode("_ld_spans").alias("s"))
-    bytes_ = bytes_.select(
-        "_ld_row", "_ld_id", F.col("s.k").alias("_ld_key"), F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.array_join(F.slice("_ld_all", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1), "\n").alias("_ld_bytes"), F.ceil(F.col("s.n") / PART).cast("int").alias("_ld_parts")
-    )
+    held = keyed.join(wanted, "_ld_row").select("_ld_row", F.col(id_col).alias("_ld_id"), lines.alias("_ld_all"), "_ld_spans")
+    inside = F.flatten(F.transform("_ld_spans", lambda s: F.slice("_ld_all", s["a"], s["b"] - s["a"] + 1)))
+    line = held.select(F.explode(F.array_distinct(inside)).alias("_ld_line")).groupBy(F.xxhash64("_ld_line").alias("_ld_x")).agg(F.min("_ld_line").alias("lo"), F.max("_ld_line").alias("hi"))
+    # Two lines of one hash: 1 in 2**64 for any two, so as good as never any.
+    unlike = [r[0] for r in line.where("lo != hi").select("_ld_x").collect()]
+    told = held.select("_ld_row", "_ld_id", identities(F.col("_ld_all")).alias("_ld_x"), F.explode("_ld_spans").alias("s"))
+    told = told.select("_ld_row", "_ld_id", F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.slice("_ld_x", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1).alias("_ld_seq"), F.ceil(F.col("s.n") / PART).cast("int").alias("_ld_parts"))
+    if unlike:
+        told = told.where(~F.arrays_overlap("_ld_seq", F.array(*[F.lit(x) for x in unlike])))
     place = F.struct(F.col("_ld_id"), F.col("_ld_row"), F.col("_ld_from"))
-    first = bytes_.groupBy("_ld_key", "_ld_bytes", "_ld_parts").agg(F.min(place).alias("_ld_first")).withColumn("_ld_part", F.explode(F.sequence(F.lit(0), F.col("_ld_parts") - 1))).drop("_ld_parts")
-    dealt = bytes_.withColumn("_ld_part", F.pmod(F.xxhash64("_ld_row", "_ld_from"), F.col("_ld_parts")).cast("int"))
+    first = told.groupBy("_ld_seq", "_ld_parts").agg(F.min(place).alias("_ld_first")).withColumn("_ld_part", F.explode(F.sequence(F.lit(0), F.col("_ld_parts") - 1))).drop("_ld_parts")
+    dealt = told.withColumn("_ld_part", F.pmod(F.xxhash64("_ld_row", "_ld_from"), F.col("_ld_parts")).cast("int"))
     gone = (
-        dealt.join(first, ["_ld_key", "_ld_bytes", "_ld_part"])
+        dealt.join(first, ["_ld_seq", "_ld_part"])
         .where(~place.eqNullSafe(F.col("_ld_first")))
         .groupBy("_ld_row")
         .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("_ld_from", "_ld_to")))).alias("_ld_gone"))
     )
     out = keyed.join(gone, "_ld_row", "left")
     count = F.coalesce(F.size(lines), F.lit(0))
-    # Lines that stay: numbered, without those listed.
-    numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), (i + 1).alias("n")))
-    kept = F.transform(F.filter(numbered, lambda x: ~F.array_contains(F.col("_ld_gone"), x["n"])), lambda x: x["line"])
+    kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(lines)), "_ld_gone"), lambda i: F.get(lines, i - 1))
     return out.withColumns({
         "_ld_lines": F.when(F.col(text_col).isNull(), 0).otherwise(count).cast("int"),
         "_ld_removed": F.coalesce(F.size("_ld_gone"), F.lit(0)).cast("int"),
