@@ -75,6 +75,17 @@ def long_date(text: Column) -> Column:
     return F.date_format(F.try_to_date(collapse(text), "MMMM d, yyyy"), "yyyy-MM-dd")
 
 
+def required(text: Column, pattern: str) -> Column:
+    """The first group of a pattern's first match, collapsed; a text without one is an error."""
+    hit = F.regexp_extract(text, f"(?i){pattern}", 1)
+    return F.when(hit != "", collapse(hit)).otherwise(F.raise_error(F.lit(f"required pattern not found: {pattern}")))
+
+
+def plain_decimal(x: Column) -> Column:
+    """A number with at most four decimals and no zeros at its end."""
+    return F.regexp_replace(F.regexp_replace(F.format_string("%.4f", x), "0+$", ""), "\\.$", "")
+
+
 def html_escape(text: Column) -> Column:
     out = text
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):

@@ -110,7 +110,7 @@ def _second_item(line: Column) -> Column:
 
     def value(label: str) -> Column:
         hits = F.regexp_extract_all(line, F.lit(f"(?i)(?:^|\\|)\\s*{label}\\s*:([^|]*)"), 1)
-        return F.coalesce(F.trim(F.get(hits, F.size(hits) - 1)), F.lit(""))
+        return F.coalesce(F.regexp_replace(F.get(hits, F.size(hits) - 1), "^\\s+|\\s+$", ""), F.lit(""))
 
     return F.array(*[value(label) for _, label, _ in ITEM_FIELDS])
 

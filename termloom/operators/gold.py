@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from termloom.functions import text as T
-from termloom.schemas import HEADER_FIELDS, ITEM_FIELDS, MARGIN_TYPES, REQUIRED_GOLD, SETTLED, effective_value
+from termloom.schemas import GOLD_KEYS, HEADER_FIELDS, ITEM_FIELDS, MARGIN_TYPES, REQUIRED_GOLD, SETTLED, effective_value
 
 
 def _bad() -> Column:
@@ -110,6 +110,31 @@ def close_versions(rows: DataFrame, key: list[str], seq: list[str], since: str =
     return good, marked.where("not _good").drop("_open", "_good", "_turn", "_next")
 
 
+def versions_of(kind: str, rows: DataFrame, seq: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``close_versions`` by the key of a kind of gold rows: eligibility, limit or requirement."""
+    return close_versions(rows, GOLD_KEYS[kind], seq)
+
+
+def groups_held(silver: DataFrame) -> DataFrame:
+    """doc_id, has_eligibility, has_limits, has_requirements: which groups a document's rows are of."""
+    in_group = lambda g: F.bool_or(T.group_index(F.col("field_path"), g).isNotNull())
+    return silver.groupBy("doc_id").agg(in_group("eligibility").alias("has_eligibility"), in_group("limit").alias("has_limits"), in_group("requirement").alias("has_requirements"))
+
+
+def limits_of(silver: DataFrame, seq: str = "seq") -> DataFrame:
+    """Limits as their rules see them: of each group and field that is found the last value, with the value's currency; repeated fields are no error here."""
+    rows = silver.withColumn("limit_id", T.group_index(F.col("field_path"), "limit")).where("limit_id IS NOT NULL AND value_type != 'not_found'").withColumn("suffix", T.suffix(F.col("field_path"))).withColumn("v", effective_value())
+    last = lambda f, c="v": F.max_by(F.when(F.col("suffix") == f, F.col(c)), F.when(F.col("suffix") == f, F.col(seq)))
+    per = rows.groupBy("doc_id", "limit_id").agg(*[last(f).alias(f) for f in ("dimension", "scope_value", "limit_value", "limit_unit", "limit_currency", "basis", "aggregation")], last("limit_value", "currency").alias("_cur"))
+    return per.withColumn("limit_value", T.number(F.col("limit_value"))).withColumn("limit_currency", F.coalesce("limit_currency", F.nullif(F.col("_cur"), F.lit("")))).drop("_cur")
+
+
+def consistent_documents(limits: DataFrame, doc: str = "doc_id", index: str = "limit_id") -> tuple[DataFrame, DataFrame]:
+    """Limits of documents that break no rule, and doc, problems of those that do."""
+    bad = limit_violations(limits, doc, index).groupBy(doc).agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("["), "code", F.lit("] limit "), F.col(index).cast("string")))), "; ").alias("problems"))
+    return limits.join(bad.select(doc), doc, "left_anti"), bad
+
+
 def active(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("knowledge_to").isNull())
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from termloom.functions import text as T
 from termloom.schemas import effective_value
@@ -57,6 +58,23 @@ def mined_rules(log: DataFrame, least: int = 2) -> DataFrame:
     return rules.unionByName(doubts.select(F.lit("dispute_flag").alias("kind"), "schema", "suffix", F.lit(None).cast("string").alias("previous_value"), "targets", "n", "reviewers"))
 
 
+def golden_cases(log: DataFrame) -> DataFrame:
+    """Proposed cases: every correction's value and every confirmed one, with its source and reviewer."""
+    fix = F.col("action") == "correct"
+    return log.where("action != 'dispute'").select("seq", "doc_id", T.prefix(F.col("field_path")).alias("schema"), "field_path", T.suffix(F.col("field_path")).alias("field"), F.when(fix, F.col("corrected_value")).otherwise(F.col("previous_value")).alias("expected"), F.when(fix, "correction").otherwise("confirmed").alias("source"), "reviewer", "decided_at", "note")
+
+
+def unresolved(log: DataFrame) -> DataFrame:
+    """Disputes of the log, which stay open until their value is settled."""
+    return log.where("action = 'dispute'").select("seq", "doc_id", "field_path", "reviewer", "decided_at", "note")
+
+
+def documents_seen(log: DataFrame) -> DataFrame:
+    """doc_id, nth: documents in the order in which the log first names them; only one row a document is ordered."""
+    first = log.groupBy("doc_id").agg(F.min("seq").alias("first_seq"))
+    return first.withColumn("nth", F.row_number().over(W.orderBy("first_seq", "doc_id"))).select("doc_id", "nth")
+
+
 def golden_fragment(log: DataFrame) -> DataFrame:
     """doc_id, field_path, expected: the last confirmed or corrected value."""
     value = F.when(F.col("action") == "correct", F.col("corrected_value")).otherwise(F.col("previous_value"))

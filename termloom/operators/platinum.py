@@ -30,6 +30,11 @@ def wildcard_join(keys: DataFrame, rows: DataFrame) -> DataFrame:
     return both.unionByName(cp).unionByName(ag).unionByName(any_).drop("_c", "_a")
 
 
+def ordered(sets: DataFrame) -> DataFrame:
+    """Constraint sets by counterparty and agreement, missing ones as empty texts."""
+    return sets.orderBy(F.coalesce("counterparty", F.lit("")), F.coalesce("agreement_id", F.lit("")))
+
+
 def constraint_sets(terms: DataFrame, limits: DataFrame, margins: DataFrame) -> DataFrame:
     """Long form: counterparty, agreement_id, kind, member of each set."""
     keys = agreement_keys(terms, limits, margins)

@@ -15,11 +15,13 @@ from termloom.operators import learning as L
 from termloom.operators import platinum as P
 from termloom.operators import quality as Q
 from termloom.operators import recall as R
+from termloom.operators import review as RV
 from termloom.operators import tables as TB
 from termloom.operators import workflow as WF
 from termloom.schemas import HEADER_FIELDS, ITEM_FIELDS, REQUIRED_GOLD, effective_value, first_broken, silver_rules
 from termloom.sources import bronze as B
 from termloom.sources import fixtures as FX
+from termloom.sources import store as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -299,6 +301,25 @@ def flagship_active_terms(spark: SparkSession, sf: str) -> DataFrame:
     return G.active(closed).where("eligible").select("counterparty", "agreement_id", "asset_criterion", "haircut_pct")
 
 
+@query("""WITH l AS (SELECT s_suppkey AS id, s_nationkey AS nation, s_suppkey % 3 AS scope, s_suppkey * 37 % 101 AS day FROM supplier), u AS (SELECT *, max(day) OVER (PARTITION BY nation, scope ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open FROM l)
+SELECT id, lead(day) OVER (PARTITION BY nation, scope ORDER BY id) AS until FROM u WHERE open IS NULL OR day > open""")
+def limit_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of limits by their own key, whose missing parts are alike."""
+    s = F.col("s_suppkey")
+    none = F.lit(None).cast("string")
+    rows = FX.table(spark, sf, "supplier").select(s.alias("id"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("counterparty"), none.alias("agreement_id"), none.alias("schedule_version"), F.lit("issuer").alias("dimension"), F.when(s % 3 != 0, (s % 3).cast("string")).alias("scope_value"), F.lit(None).cast("date").alias("valid_from"), F.date_add(F.lit("2026-01-01").cast("date"), (s * 37 % 101).cast("int")).cast("timestamp").alias("knowledge_from"))
+    good, _ = G.versions_of("limit", rows, ["id"])
+    return good.select("id", F.datediff("knowledge_to", F.lit("2026-01-01").cast("date")).cast("long").alias("until"))
+
+
+@query("""WITH l AS (SELECT o_orderkey AS id, o_custkey AS k, o_orderdate AS day FROM orders), u AS (SELECT *, max(day) OVER (PARTITION BY k % 50 ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open FROM l) SELECT id FROM u WHERE day <= open""")
+def margin_version_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Margin requirements that are no later than the open version of their key."""
+    k = F.col("o_custkey") % 50
+    rows = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("c"), k.cast("string")).alias("counterparty"), F.lit(None).cast("string").alias("agreement_id"), F.lit(None).cast("string").alias("netting_set_id"), F.lit("VM").alias("margin_type"), F.lit(None).cast("date").alias("valuation_date"), F.col("o_orderdate").alias("knowledge_from"))
+    return G.versions_of("requirement", rows, ["id"])[1].select("id")
+
+
 _LIM = """l AS (SELECT s_suppkey AS limit_id, 'doc' || s_suppkey % 10 AS doc_id, CASE WHEN s_suppkey % 3 <> 0 THEN 'C' || s_suppkey % 40 END AS counterparty, CASE WHEN s_suppkey % 5 <> 0 THEN 'A' || s_suppkey % 4 END AS agreement_id, ['issuer', 'country', 'sector'][(s_suppkey % 3 + 1)::INTEGER] AS dimension, CASE WHEN s_suppkey % 4 <> 0 THEN 'S' || s_suppkey % 8 END AS scope_value,
 CASE WHEN s_suppkey % 2 = 0 THEN 'percent' WHEN s_suppkey % 9 = 0 THEN 'ratio' ELSE 'absolute' END AS unit, (s_suppkey * 7 % 130 - 5)::DOUBLE AS v, CASE WHEN s_suppkey % 7 <> 0 THEN 'USD' END AS cur, CASE WHEN s_suppkey % 6 <> 0 THEN 'market value' END AS basis FROM supplier)"""
 _VIOL = _LIM + """, b AS (SELECT *, min(v) FILTER (unit = 'percent' AND scope_value IS NULL) OVER (PARTITION BY doc_id, dimension) AS blanket FROM l),
@@ -326,6 +347,26 @@ def constraint_set_long(spark: SparkSession, sf: str) -> DataFrame:
     return P.constraint_sets(FX.terms(spark, sf).where("not closed"), FX.limits(spark, sf), FX.margins(spark, sf))
 
 
+@query(f"WITH {_VIOL} SELECT doc_id, string_agg(DISTINCT '[' || code || '] limit ' || limit_id, '; ' ORDER BY '[' || code || '] limit ' || limit_id) AS problems FROM x GROUP BY doc_id")
+def inconsistent_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return G.consistent_documents(FX.limits(spark, sf))[1]
+
+
+@query(f"WITH {SILVER_SQL} SELECT doc_id, true AS has_eligibility, false AS has_limits, false AS has_requirements FROM silver GROUP BY doc_id")
+def groups_held(spark: SparkSession, sf: str) -> DataFrame:
+    return G.groups_held(_silver(spark, sf))
+
+
+@query(f"WITH {_LIM} SELECT doc_id, limit_id, dimension, CASE WHEN limit_id % 11 = 0 THEN 'later' ELSE scope_value END AS scope_value, v AS limit_value, unit AS limit_unit, cur AS limit_currency, basis FROM l")
+def limits_last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Limits as their rules see them; some have a scope that is told twice, and the later one counts."""
+    li = FX.limits(spark, sf)
+    fields = ["dimension", "scope_value", "limit_value", "limit_unit", "limit_currency", "basis"]
+    rows = _eav(li, "limit", fields, F.col("limit_id"), F.lit("confirmed"))
+    again = _eav(li.where("limit_id % 11 = 0").withColumn("scope_value", F.lit("later")), "limit", ["scope_value"], F.col("limit_id"), F.lit("confirmed")).withColumn("seq", F.col("seq") + 1)
+    return G.limits_of(rows.unionByName(again)).select("doc_id", F.col("limit_id").cast("long").alias("limit_id"), *fields)
+
+
 # Review and learning
 
 
@@ -377,6 +418,26 @@ def distill_golden_fragment(spark: SparkSession, sf: str) -> DataFrame:
     return L.golden_fragment(_log(spark, sf))
 
 
+@query(f"WITH {_LOG} SELECT seq, doc_id, field_path, reviewer, note FROM log WHERE action = 'dispute'")
+def distill_unresolved(spark: SparkSession, sf: str) -> DataFrame:
+    return L.unresolved(_log(spark, sf)).drop("decided_at")
+
+
+@query(f"WITH {_LOG} SELECT seq, doc_id, schema, field_path, suffix AS field, CASE WHEN action = 'correct' THEN corrected_value ELSE previous_value END AS expected, CASE WHEN action = 'correct' THEN 'correction' ELSE 'confirmed' END AS source, reviewer FROM log WHERE action <> 'dispute'")
+def distill_golden_cases(spark: SparkSession, sf: str) -> DataFrame:
+    return L.golden_cases(_log(spark, sf)).drop("decided_at", "note")
+
+
+@query(f"WITH {_LOG} SELECT doc_id, row_number() OVER (ORDER BY min(seq), doc_id) AS nth FROM log GROUP BY doc_id")
+def distill_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return L.documents_seen(_log(spark, sf))
+
+
+@query(f"WITH {_MEM} SELECT doc_class, suffix, original_value, n, corrected_value, reviewer FROM mem ORDER BY doc_class, suffix, original_value")
+def memory_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return RV.memory_list(memory_fold(spark, sf))
+
+
 # Quality
 
 _EA = """j AS (SELECT l.doc_id AS id, l.quality, l.toxic, d.n_chars, d.lang FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id),
@@ -429,10 +490,16 @@ def quality_per_document(spark: SparkSession, sf: str) -> DataFrame:
     return Q.kpis(_validated(spark, sf), ["doc_id"])
 
 
+@query(f"WITH {_EA} SELECT case_id, id, field_path, expected, actual FROM (SELECT case_id, id, 'rule[0].' || field AS field_path, expected, coalesce(actual, '<missing>') AS actual FROM mk WHERE NOT ok) ORDER BY case_id, id, field_path LIMIT 15")
+def first_mismatches(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.first_mismatches(FX.expected_actual(spark, sf), ["case_id", "id", "field_path"]).drop("locator")
+
+
 @query("""WITH c AS (SELECT conv_id AS doc_id, CASE WHEN role = 'assistant' THEN 'validator' ELSE 'extractor' END AS stage, length(text) * 3 AS ms, CASE WHEN turn % 4 <> 3 THEN length(text) // 4 END AS i, CASE WHEN turn % 3 <> 2 THEN length(text) // 8 END AS o, CASE WHEN turn % 5 = 0 THEN length(text) // 2 END AS t FROM conversations)
-SELECT stage, count(*) AS n_calls, count(DISTINCT doc_id) AS n_documents, sum(ms)::BIGINT AS latency_ms, sum(coalesce(t, coalesce(i, 0) + coalesce(o, 0)))::BIGINT AS tokens, sum(coalesce(t, coalesce(i, 0) + coalesce(o, 0))) / count(DISTINCT doc_id) AS tokens_per_document FROM c GROUP BY stage""")
+SELECT stage, count(*) AS n_calls, count(DISTINCT doc_id) AS n_documents, sum(ms)::BIGINT AS latency_ms, sum(coalesce(t, coalesce(i, 0) + coalesce(o, 0)))::BIGINT AS tokens, sum(coalesce(t, coalesce(i, 0) + coalesce(o, 0))) / count(DISTINCT doc_id) AS tokens_per_document,
+round_even(sum(coalesce(i, 0)) / 1000 * 0.5::DOUBLE + sum(coalesce(o, 0)) / 1000 * 1.5::DOUBLE, 6) AS cost, round_even(sum(ms) / count(DISTINCT doc_id), 1) AS latency_per_document FROM c GROUP BY stage""")
 def semantic_performance(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.call_performance(FX.calls(spark, sf))
+    return Q.call_performance(FX.calls(spark, sf), 0.5, 1.5)
 
 
 @query("SELECT event_type, count(*) AS n, median(value / 60) AS median_minutes, round(avg(value / 60), 6) AS mean_minutes, max(value / 60) AS max_minutes, count(*) FILTER (value / 60 <= 15) AS n_within, count(*) = count(*) FILTER (value / 60 <= 15) AS meets_target FROM events GROUP BY event_type")
@@ -446,10 +513,16 @@ def corpus_check(spark: SparkSession, sf: str) -> DataFrame:
     return Q.corpus_problems(_docs(spark, sf), FX.table(spark, sf, "labels"))
 
 
-@query(f"SELECT doc_id, n_chars, CASE WHEN text = '' THEN 0 ELSE len({_LINES}) END AS n_lines, CASE WHEN n_chars < 200 THEN 'too_few_characters' ELSE '' END || CASE WHEN text = '' THEN ',no_lines' ELSE '' END AS issues, CASE WHEN n_chars < 200 THEN 'failed' ELSE 'passed' END AS status FROM documents")
+@query(f"""WITH m AS (SELECT doc_id, n_chars AS n_characters, CASE WHEN text = '' THEN 0 ELSE len({_LINES}) END AS n_locators FROM documents)
+SELECT doc_id, n_characters, 0 AS n_cells, 200 AS minimum_text_characters, 0 AS minimum_table_cells, 1 AS expected_locator_count, n_locators, CASE WHEN doc_id % 50 = 7 AND n_locators > 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS locator_reproducibility,
+concat_ws(',', CASE WHEN n_characters < 200 THEN 'below_minimum_text_fidelity' END, CASE WHEN n_locators <> 1 THEN 'unexpected_locator_count' END, CASE WHEN doc_id % 50 = 7 AND n_locators > 0 THEN 'non_reproducible_locators' END) AS issues, CASE WHEN n_characters < 200 OR n_locators <> 1 OR (doc_id % 50 = 7 AND n_locators > 0) THEN 'failed' ELSE 'passed' END AS status FROM m""")
 def layout_bench_status(spark: SparkSession, sf: str) -> DataFrame:
-    m = _docs(spark, sf).select("doc_id", "n_chars", F.size(T.split_lines(F.col("text"))).alias("n_lines"))
-    return Q.layout_benchmark(m, F.lit(200))
+    """Layouts of documents against a case each; some replays lose their last line."""
+    n = F.size(T.split_lines(F.col("text")))
+    order = F.transform(T.split_lines(F.col("text")), lambda _, i: F.concat(F.lit("page=1;line="), (i + 1).cast("string")))
+    again = F.when((F.col("doc_id") % 50 == 7) & (n > 0), F.slice(order, F.lit(1), n - 1)).otherwise(order)
+    m = _docs(spark, sf).select("doc_id", F.col("n_chars").alias("n_characters"), F.lit(0).alias("n_cells"), F.lit(200).alias("minimum_text_characters"), F.lit(0).alias("minimum_table_cells"), F.lit(1).alias("expected_locator_count"), order.alias("locators"), again.alias("replayed"), F.array().cast("array<string>").alias("quality_issues"))
+    return Q.layout_benchmark(m)
 
 
 @query("""SELECT page_id, url, md5(html) AS digest, 'old' AS origin FROM pages WHERE page_id % 3 <> 0 UNION ALL SELECT page_id, url, md5(url), 'new' FROM pages WHERE page_id % 3 = 0""")
@@ -510,9 +583,11 @@ def silver_constraints_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return s.withColumn("rule", first_broken(silver_rules())).where("rule is not null").select("extraction_id", "rule")
 
 
-@query()
+@query("""WITH RECURSIVE w AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY c, x0, text, y0, x1, y1) AS n FROM (SELECT l_orderkey AS page, 'w' || l_partkey AS text, l_quantity::DOUBLE AS x0, (l_partkey % 40)::DOUBLE AS y0, l_quantity::DOUBLE + 5 AS x1, (l_partkey % 40)::DOUBLE + 4 AS y1, (l_partkey % 40)::DOUBLE + 2 AS c FROM lineitem)),
+f AS (SELECT page, n, 1 AS line, c AS total, 1 AS held FROM w WHERE n = 1 UNION ALL SELECT w.page, w.n, CASE WHEN abs(w.c - f.total / f.held) <= 6 THEN f.line ELSE f.line + 1 END, CASE WHEN abs(w.c - f.total / f.held) <= 6 THEN f.total + w.c ELSE w.c END, CASE WHEN abs(w.c - f.total / f.held) <= 6 THEN f.held + 1 ELSE 1 END FROM f JOIN w ON w.page = f.page AND w.n = f.n + 1)
+SELECT page, line, string_agg(text, ' ' ORDER BY x0, n) AS text, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*)::INTEGER AS n_words FROM f JOIN w USING (page, n) GROUP BY page, line""")
 def line_clustering(spark: SparkSession, sf: str) -> DataFrame:
-    """Words of pages (orders) into lines by a running centre; a fold, held against a loop in tests."""
+    """Words of pages (orders) into lines by a running centre."""
     li = FX.table(spark, sf, "lineitem")
     y = (F.col("l_partkey") % 40).cast("double")
     w = li.select("l_orderkey", F.concat(F.lit("w"), F.col("l_partkey").cast("string")).alias("text"), F.col("l_quantity").alias("x0"), y.alias("y0"), (F.col("l_quantity") + 5).alias("x1"), (y + 4).alias("y1"), F.lit(0.9).alias("confidence"))
@@ -539,6 +614,80 @@ def recall_labels(spark: SparkSession, sf: str) -> DataFrame:
     return _loans(spark, sf).select("loan", *cols)
 
 
+# Stores, written and read again in the shared folder
+
+
+@query("SELECT doc_id, 1 AS page_from, len(string_split(text, chr(10))) AS n_pages, md5(replace(text, chr(10), chr(10) || chr(12) || chr(10))) AS joined FROM documents")
+def document_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts whose lines are pages, split and joined again as an artifact's text is."""
+    d = _docs(spark, sf).withColumn("text", F.replace("text", F.lit("\n"), F.lit("\f")))
+    return d.select("doc_id", F.lit(1).alias("page_from"), F.size(B.pages(F.col("text"))).alias("n_pages"), F.md5(B.joined(B.pages(F.col("text"))).cast("binary")).alias("joined"))
+
+
+@query("""SELECT 'doc-' || substr(sha256(text), 1, 24) AS doc_id, min(doc_id) AS first_id FROM documents GROUP BY text HAVING min(doc_id) % 2 = 1""")
+def content_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Contents that a store lacks which holds those whose first receipt has an even number."""
+    got = B.ingest(_docs(spark, sf).select(F.col("doc_id").alias("received_id"), "text", F.col("text").alias("body")), "text", "received_id")
+    held = got.where("received_id % 2 = 0").select("doc_id", "file_hash")
+    return B.to_store(got, held)[0].select("doc_id", F.col("received_id").alias("first_id"))
+
+
+@query("""SELECT 'c' || o_custkey AS doc_id, count(*) AS n, max(CASE WHEN o_custkey % 3 = 0 THEN 'reviewed' ELSE 'validated' END) AS stage, sum(CASE WHEN o_custkey % 3 = 0 THEN 2 WHEN o_custkey % 5 = 0 THEN 3 ELSE 1 END)::BIGINT AS total FROM orders GROUP BY o_custkey""")
+def stage_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of documents (customers) written to stages, some again and some reviewed; of each the latest stage is read."""
+    path = ST.scratch(spark, "stages")
+    rows = FX.table(spark, sf, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("doc_id"), F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id"), F.lit(1).cast("long").alias("v"))
+    ST.write_stage(rows, path, "validated")
+    ST.write_stage(rows.where("k % 5 = 0").withColumn("v", F.lit(3).cast("long")), path, "validated")
+    ST.write_stage(rows.where("k % 3 = 0").withColumn("v", F.lit(2).cast("long")), path, "reviewed")
+    held = ST.latest_stage(ST.read_stages(spark, path, "doc_id string, k long, id long, v long"))
+    return held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("stage").alias("stage"), F.sum("v").alias("total"))
+
+
+@query(f"WITH {_CLOSE} SELECT id, custkey, priority, knowledge_from, nxt AS knowledge_to FROM v WHERE n = 1")
+def snapshot_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions that reach a snapshot table in two commits, the later ones without those that it would refuse."""
+    rows = FX.versions(spark, sf)
+    table = ST.SnapshotTable(spark, ST.scratch(spark, "snapshots"), "id long, custkey long, priority string, knowledge_from timestamp, knowledge_to timestamp")
+    key = ["custkey", "priority"]
+    whole, _ = G.close_versions(rows, key, ["id"])
+    middle = rows.agg(F.percentile_approx("id", 0.5).alias("m")).first()["m"]
+    taken = whole.select("id", "custkey", "priority", "knowledge_from", F.lit(None).cast("timestamp").alias("knowledge_to"))
+    table.upsert(taken.where(F.col("id") <= middle), key, ["id"])
+    table.upsert(taken.where(F.col("id") > middle), key, ["id"])
+    return table.read()
+
+
+@query("SELECT user_id, count(*) AS n, arg_max(event_type, event_id) AS last_type FROM events GROUP BY user_id")
+def log_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Events appended to a log in two parts, the later part first; readers go by its numbers."""
+    path = ST.scratch(spark, "log")
+    e = FX.table(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("doc_id"), "event_type", "user_id")
+    middle = e.agg(F.percentile_approx("seq", 0.5).alias("m")).first()["m"]
+    ST.append_log(e.where(F.col("seq") > middle), path)
+    ST.append_log(e.where(F.col("seq") <= middle), path)
+    held = ST.read_log(spark, path, "seq long, doc_id string, event_type string, user_id long")
+    return held.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("event_type", "seq").alias("last_type"))
+
+
+@query("""WITH o AS (SELECT user_id, min(ts) AS t FROM events GROUP BY user_id) SELECT 'u' || user_id AS task, CASE WHEN user_id % 2 = 0 THEN 'validated' ELSE 'landed' END AS status, CASE WHEN user_id % 2 = 0 THEN TIMESTAMP '2026-01-01' ELSE t END AS updated_at, CASE WHEN user_id % 2 = 0 THEN 'invalid task transition: validated -> classified' END AS problem FROM o""")
+def tasks_opened(spark: SparkSession, sf: str) -> DataFrame:
+    """Tasks of all users, half of which are there already and stay as they are; and whether each may be classified next."""
+    e = FX.table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("task"), "user_id", F.col("ts").alias("updated_at"))
+    held = e.where("user_id % 2 = 0").select("task", F.lit("validated").alias("status"), F.lit("2026-01-01").cast("timestamp").alias("updated_at"), F.lit(None).cast("string").alias("error")).distinct()
+    return WF.may_step(WF.opened(held, e, "task"), "task", "classified").drop("error")
+
+
+@query(f"WITH {SILVER_SQL}, q AS (SELECT extraction_id, custkey FROM silver WHERE field_path = 'eligibility[0].haircut_pct') SELECT extraction_id, 'duplicate_request' AS code FROM q WHERE custkey % 6 = 1 UNION ALL SELECT extraction_id, 'missing_value' FROM q WHERE custkey % 6 = 3 UNION ALL SELECT 'x' || extraction_id, 'unknown_extraction' FROM q WHERE custkey % 6 = 5")
+def correction_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with planted faults: given twice, without a value, for no row."""
+    k = FX.schedules(spark, sf).select(F.col("doc_id").alias("_d"), "custkey")
+    path = F.lit("eligibility[0].haircut_pct")
+    q = k.select(F.substring(F.sha2(F.concat_ws("|", "_d", path, F.lit(X.VERSION)), 256), 1, 32).alias("extraction_id"), (F.col("custkey") % 6).alias("k"))
+    q = q.select(F.when(F.col("k") == 5, F.concat(F.lit("x"), "extraction_id")).otherwise(F.col("extraction_id")).alias("extraction_id"), "k", F.when(F.col("k") == 3, "correct").otherwise("confirm").alias("action"), F.lit(None).cast("string").alias("new_value"))
+    return L.correction_errors(_silver(spark, sf), q.unionByName(q.where("k = 1")))
+
+
 _BAND = "CASE WHEN p < 0 OR p > 1 THEN NULL WHEN p < 0.10 THEN 'LOW' WHEN p < 0.25 THEN 'MODERATE' WHEN p < 0.50 THEN 'HIGH' ELSE 'CRITICAL' END"
 
 

@@ -32,6 +32,15 @@ def ingest(files: DataFrame, content: str, received: str) -> DataFrame:
     return hashed.groupBy("file_hash").agg(F.min("r").alias("r"), F.count(F.lit(1)).alias("n_received")).select(F.concat(F.lit("doc-"), F.substring("file_hash", 1, 24)).alias("doc_id"), "file_hash", "r.*", "n_received")
 
 
+def to_store(files: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contents (doc_id, file_hash, content, ...) that a content-addressed store lacks, and doc_id, problem of collisions: another content under the same id."""
+    known = held.select(F.col("doc_id").alias("_d"), F.col("file_hash").alias("_h")).distinct()
+    j = files.join(known, F.col("doc_id") == F.col("_d"), "left")
+    new = j.where("_d IS NULL").drop("_d", "_h").dropDuplicates(["file_hash"])
+    clash = j.where("_h != file_hash").select("doc_id", F.lit("other_content_under_this_id").alias("problem")).distinct()
+    return new, clash
+
+
 def pages(text: Column) -> Column:
     return F.split(text, "\u000c", -1)
 

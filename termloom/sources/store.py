@@ -191,5 +191,17 @@ def latest_stage(rows: DataFrame) -> DataFrame:
     return ranked.join(best, "doc_id").where("_o = _b").drop("_o", "_b")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a temporary folder only where the master is local and none is set."""
+    kept = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not kept:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        kept = tempfile.mkdtemp(prefix="termloom-")
+    return f"{kept.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def struct_of(ddl: str) -> ST.StructType:
     return ST._parse_datatype_string(ddl)  # type: ignore[return-value]
