@@ -110,13 +110,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # With the id taken from here, this join and the last one shuffle the same columns: Spark then does it once.
     held = keyed.join(wanted, "_ld_row").select("_ld_row", F.col(id_col).alias("_ld_id"), lines.alias("_ld_all"), "_ld_spans")
     inside = F.flatten(F.transform("_ld_spans", lambda s: F.slice("_ld_all", s["a"], s["b"] - s["a"] + 1)))
-    line = held.select(F.explode(F.array_distinct(inside)).alias("_ld_line")).groupBy(F.xxhash64("_ld_line").alias("_ld_x")).agg(F.min("_ld_line").alias("lo"), F.max("_ld_line").alias("hi"))
-    # Two lines of one hash: 1 in 2**64 for any two, so as good as never any.
-    unlike = [r[0] for r in line.where("lo != hi").select("_ld_x").collect()]
+    line = held.select("_ld_id", F.explode(F.array_distinct(inside)).alias("_ld_line")).groupBy(F.xxhash64("_ld_line").alias("_ld_x")).agg(F.min("_ld_line").alias("lo"), F.max("_ld_line").alias("hi"), F.count("_ld_id").alias("n"))
+    # Hashes of unlike lines: 1 in 2**64 for any two, so as good as never any. As a subquery of the same plan, with the same columns (so it counts ids), it shares the shuffle of the texts.
+    unlike = F.coalesce(line.where("lo != hi AND n >= 0").agg(F.collect_list("_ld_x").alias("u")).scalar(), F.array().cast("array<long>"))
     told = held.select("_ld_row", "_ld_id", identities(F.col("_ld_all")).alias("_ld_x"), F.explode("_ld_spans").alias("s"))
     told = told.select("_ld_row", "_ld_id", F.col("s.a").alias("_ld_from"), F.col("s.b").alias("_ld_to"), F.slice("_ld_x", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1).alias("_ld_seq"), F.ceil(F.col("s.n") / PART).cast("int").alias("_ld_parts"))
-    if unlike:
-        told = told.where(~F.arrays_overlap("_ld_seq", F.array(*[F.lit(x) for x in unlike])))
+    told = told.where(~F.arrays_overlap("_ld_seq", unlike))
     place = F.struct(F.col("_ld_id"), F.col("_ld_row"), F.col("_ld_from"))
     first = told.groupBy("_ld_seq", "_ld_parts").agg(F.min(place).alias("_ld_first")).withColumn("_ld_part", F.explode(F.sequence(F.lit(0), F.col("_ld_parts") - 1))).drop("_ld_parts")
     dealt = told.withColumn("_ld_part", F.pmod(F.xxhash64("_ld_row", "_ld_from"), F.col("_ld_parts")).cast("int"))
