@@ -7,8 +7,9 @@ appends their counts to the table.
 
 Words repeat far more than texts, so encoders keep a bounded table of words seen:
 
-* ``WordPieces`` (tokenizers): pre-tokens never cross a space, so the ids of a text
-  are those of its stretches between ASCII spaces;
+* ``WordPieces`` (tokenizers): where the file's pipeline is the known one, pre-tokens never
+  cross a space, so the ids of a text are those of its stretches between ASCII spaces;
+  other files get whole texts;
 * ``PieceCounts`` (sentencepiece): where no piece of the model holds a word mark
   after another character, no merge crosses from a character into a following
   space, so counts add up over stretches of "spaces, then other characters". The
@@ -56,7 +57,7 @@ class WordPieces:
 
     A plain word's pre-tokens go straight to the file's merge table, where its pipeline
     is the known one (compose, fold spaces, lower-case; split by its pattern, map bytes);
-    any other word or file goes through the whole pipeline.
+    any other word goes through the whole pipeline, and so does every text of any other file.
     """
 
     _held: dict[str, WordPieces] = {}
@@ -97,7 +98,7 @@ class WordPieces:
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
         match = PLAIN_WORD.fullmatch
-        plain = [self.known and match(w) is not None for w in words]
+        plain = [match(w) is not None for w in words]
         held = " ".join(words)
         if any(a in held for a in self.added):  # special strings, wherever a word holds one
             plain = [p and not any(a in w for a in self.added) for w, p in zip(words, plain, strict=True)]
@@ -106,6 +107,8 @@ class WordPieces:
             yield b"".join(map(self._part, self.find(w.lower()))) if p else np.array(next(rest).ids, "<u4").tobytes()
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        if not self.known:  # its tokens may cross spaces
+            return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new = new_words(self.seen, split)
         self.seen.update(zip(new, self._words(new), strict=True))
@@ -196,7 +199,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
     keyed = docs.select(F.col(id_col), body.alias("body")).withColumn("digest", F.unhex(F.sha2(F.col("body").cast("binary"), 256)))
     misses = keyed.groupBy("digest").agg(F.first("body").alias("body")).join(stored.select("digest"), "digest", "left_anti")
     encode_counts(misses, tokenizer).select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    stored = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).select("digest", "n_tokens")
+    # Two runs at once may both have stored a count; it counts once.
+    stored = spark.read.schema(CACHE).parquet(cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     sized = keyed.select(id_col, F.octet_length("body").cast("long").alias("n_bytes"), "digest")
     return sized.join(stored, "digest").select(id_col, "n_bytes", "n_tokens")
 

@@ -396,6 +396,26 @@ def test_op5_counts_and_cache(spark, odd, empty, tmp_path):
     assert tokens.op5_query(empty, path, str(tmp_path / "none")).count() == 0
 
 
+def test_op2_other_files_get_whole_texts(tmp_path):
+    """A file whose tokens hold a leading space."""
+    from tokenizers import Tokenizer, models
+
+    t = Tokenizer(models.BPE(vocab={"a": 0, " ": 1, " a": 2}, merges=[(" ", "a")]))
+    path = str(tmp_path / "t.json")
+    t.save(path)
+    texts = ["a a", "a", "", " a a"]
+    assert tokens.WordPieces(path).encode_bytes(texts) == [np.array(t.encode(x).ids, "<u4").tobytes() for x in texts]
+
+
+def test_op5_counts_stored_twice_count_once(spark, tmp_path):
+    docs, path, cache = table(spark, [(1, "one two"), (2, "one two"), (3, None)]), queries.vocabulary("piece_bpe_32k.model"), str(tmp_path / "c")
+    first = sorted(map(tuple, tokens.count_tokens(docs, path, cache).collect()))
+    held = spark.read.parquet(cache)
+    held.write.mode("append").parquet(cache)
+    assert spark.read.parquet(cache).count() == 4
+    assert sorted(map(tuple, tokens.count_tokens(docs, path, cache).collect())) == first
+
+
 # op 6
 
 
