@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from termloom.operators import classify, extract, gold, learning, platinum, quality, recall, tables, workflow
+from termloom.operators import classify, extract, gold, learning, platinum, quality, recall, review, tables, workflow
 from termloom.schemas import TABLES, ddl, silver_rules, split_valid
 from termloom.sources import bronze
 from termloom.sources.store import Conflict, SnapshotTable, append_log, latest_stage, passed_layouts, read_json, read_layouts, read_log, read_stages, write_json, write_once, write_per_document, write_sorted, write_stage
@@ -231,7 +231,7 @@ def test_quality_of_nothing(spark):
     r = quality.accuracy(none, []).first()
     assert (r.n, r.accuracy) == (0, 0.0)
     assert quality.release_gate(none, F.lit(True)).first().ready is False
-    assert "<ul>" in quality.dashboard_html(spark, extract.extract(spark.createDataFrame([], "doc_id string, text string")))
+    assert "<ul>" in review.dashboard(extract.extract(spark.createDataFrame([], "doc_id string, text string")))
 
 
 def test_states_fold_is_a_loop(spark):
