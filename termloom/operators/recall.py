@@ -38,3 +38,10 @@ def predictions(loans: DataFrame, probabilities: dict[int, Column], reasons: Col
     top = F.greatest(*named)
     codes = F.slice(F.concat(reasons, F.array_repeat(F.lit(DEFAULT_REASON), 3)), 1, 3)
     return out.withColumns({"max_probability": top, "band": band(top), "reasons": F.array_join(codes, ","), "error": F.when(bad, "probability_out_of_range")})
+
+
+def request_problems(requests: DataFrame) -> DataFrame:
+    """``requests`` (loan_ids, horizons) with ``problem``: no loans, or horizons that aren't served; no horizons stand for all."""
+    strange = F.array_except(F.coalesce("horizons", F.array(*[F.lit(h) for h in HORIZONS])), F.array(*[F.lit(h) for h in HORIZONS]))
+    told = F.concat(F.lit("unsupported horizons: "), F.array_join(F.array_sort(strange), ","))
+    return requests.withColumn("problem", F.when(F.coalesce(F.size("loan_ids"), F.lit(0)) <= 0, "no_loans").when(F.size(strange) > 0, told))

@@ -256,3 +256,15 @@ def test_recall(spark):
     assert (got.band, got.reasons.split(",")[0], len(got.reasons.split(","))) == ("CRITICAL", "A", 3)
     with pytest.raises(ValueError, match="horizons"):
         recall.predictions(loans, {1: F.lit(0.1)}, F.array())
+
+
+def test_requests_tasks_and_order(spark):
+    asked = spark.createDataFrame([("a", ["1"], [1, 5]), ("b", [], None), ("c", ["1"], [2, 3]), ("d", ["1"], None)], "k string, loan_ids array<string>, horizons array<int>")
+    assert {r.k: r.problem for r in recall.request_problems(asked).collect()} == {"a": None, "b": "no_loans", "c": "unsupported horizons: 2", "d": None}
+    tasks = spark.createDataFrame([("t", "landed")], "doc_id string, status string")
+    assert workflow.task_of(tasks, "doc_id", "t").count() == 1 and workflow.task_of(tasks, "doc_id", "u").count() == 0
+    sets = spark.createDataFrame([("b", None), (None, "z"), ("a", "y"), ("a", None)], "counterparty string, agreement_id string")
+    assert [tuple(r) for r in platinum.ordered(sets).collect()] == [(None, "z"), ("a", None), ("a", "y"), ("b", None)]
+    docs = spark.createDataFrame([("d", "e\nRated A\fx\nEligible assets of the first class, whatever they are and however long", "Eligible assets of the first class, whatever they are and however long"), ("d", "a\fb c", "b  c"), ("d", "a", "zz")], "doc_id string, text string, clause string")
+    got = [r.l for r in docs.select(extract.locator(F.col("text"), F.col("clause")).alias("l")).collect()]
+    assert got[0].startswith("page=2;anchor_sha256=") and got[1:] == ["page=2;line=1", "document=all;locator_unresolved"]

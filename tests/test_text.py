@@ -46,3 +46,12 @@ def test_business_days(spark):
 @given(st.text(max_size=40))
 def test_plain_split_has_no_trailing_line(t):
     assert len((t + "\n").splitlines()) >= len(t.splitlines())
+
+
+def test_required_and_decimals(spark):
+    import pytest
+
+    assert values(spark, ["Dated:  May 1"], v=T.required(F.col("x"), "dated:\\s*(\\w+ \\d+)")) == [("May 1",)]
+    with pytest.raises(Exception, match="required pattern not found"):
+        values(spark, ["none"], v=T.required(F.col("x"), "dated: (.+)"))
+    assert values(spark, ["9.5", "10", "0.1234", "100.0"], v=T.plain_decimal(F.col("x").cast("double"))) == [("9.5",), ("10",), ("0.1234",), ("100",)]
