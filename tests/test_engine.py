@@ -204,7 +204,7 @@ def test_wildcards_equal_theta_join(spark):
     rows = spark.createDataFrame([(pick(4), pick(4), i) for i in range(60)], "counterparty string, agreement_id string, id int")
     r = rows.withColumnsRenamed({"counterparty": "c", "agreement_id": "a"})
     theta = keys.crossJoin(r).where("(c is null or c = counterparty) and (a is null or a = agreement_id)").select("counterparty", "agreement_id", "id")
-    got = platinum.wildcard_join(keys, rows)
+    got = platinum.wildcard_join(keys, rows.withColumn("exact", F.lit(False)))
     assert sorted(map(str, got.collect())) == sorted(map(str, theta.collect()))
 
 
