@@ -59,6 +59,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
+class HeadCounts(dict):
+    """Counts of the head's words; -1 for others, whose counts are joined."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class EventIds(dict):
     """Word to event; a word that is no event of its own has its class's. Bounded: classes of new words are kept up to a limit."""
 
@@ -134,7 +141,7 @@ class Parameters:
             top = logits.max(axis=1)
             logits -= top[:, None]
             np.exp(logits, out=logits)
-            out[at : at + BATCH] = own - top - np.log(logits.sum(axis=1, dtype=np.float64))
+            out[at : at + BATCH] = own - top - np.log(logits.sum(axis=1))
         return out / np.log(10)
 
 
@@ -284,7 +291,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, words, head = held.value
         model, events = Parameters.of(flat), EventIds(words)
-        find = head.get
+        find = HeadCounts(head).__getitem__
         logs = np.log10(np.arange(1, 4097))
         for batch in batches:
             texts = [tokens_of(t) for t in batch.column(1).to_pylist()]
@@ -296,7 +303,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
             c = np.empty(len(stream))
             at, tails = 0, []
             for t in texts:
-                c[at : at + len(t)] = np.fromiter((find(w, -1) for w in t), float, len(t))
+                c[at : at + len(t)] = np.fromiter(map(find, t), float, len(t))
                 miss = np.flatnonzero(c[at : at + len(t)] < 0)
                 tails.append([] if not len(miss) else list(Counter([t[i] for i in miss]).items()))
                 at += len(t)
