@@ -42,6 +42,7 @@ CLASSES = 64
 NOISE = 32
 BATCH = 2048
 ROUNDS = 1
+SAFE_LOGIT = 40.0
 HEAD_WORDS = 300_000
 #: Words that a counting task holds before it hands them on.
 HELD_WORDS = 300_000
@@ -59,8 +60,11 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-class HeadCounts(dict):
-    """Counts of the head's words; -1 for others, whose counts are joined."""
+class HeadPlaces(dict):
+    """Places of the head's words; -1 for others, whose counts are joined."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        super().__init__((w, i) for i, w in enumerate(words))
 
     def __missing__(self, word: bytes) -> int:
         return -1
@@ -127,19 +131,25 @@ class Parameters:
         return cls(*(x.reshape(s).astype(np.float32) for x, s in zip(np.split(np.asarray(flat), cuts), shapes, strict=True)))
 
     def predicted(self, ctx: np.ndarray) -> np.ndarray:
-        return np.einsum("bkd,kd->bd", self.before[ctx], self.scale)
+        q = self.before[ctx[:, 0]] * self.scale[0]
+        for k in range(1, CONTEXT):
+            q += self.before[ctx[:, k]] * self.scale[k]
+        return q
 
     def log10_probabilities(self, stream: np.ndarray, ctx: np.ndarray) -> np.ndarray:
         """The softmax's log10 of each event, by products with all events' vectors, a batch at a time."""
         out = np.empty(len(stream))
-        turned = np.ascontiguousarray(self.after.T)
+        # A prediction's last place is 1 and meets the biases.
+        q, turned = np.ones((BATCH, WIDTH + 1), np.float32), np.vstack([self.after.T, self.bias])
         for at in range(0, len(stream), BATCH):
             w = stream[at : at + BATCH]
-            logits = self.predicted(ctx[at : at + BATCH]) @ turned
-            logits += self.bias
+            q[: len(w), :WIDTH] = self.predicted(ctx[at : at + BATCH])
+            logits = q[: len(w)] @ turned
             own = logits[np.arange(len(w)), w].astype(float)
-            top = logits.max(axis=1)
-            logits -= top[:, None]
+            top = 0.0
+            if max(float(logits.max()), -float(logits.min())) > SAFE_LOGIT:  # beyond it single precision's exp may end
+                top = logits.max(axis=1)
+                logits -= top[:, None]
             np.exp(logits, out=logits)
             out[at : at + BATCH] = own - top - np.log(logits.sum(axis=1))
         return out / np.log(10)
@@ -291,24 +301,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, words, head = held.value
         model, events = Parameters.of(flat), EventIds(words)
-        find = HeadCounts(head).__getitem__
+        # A head word is looked up once, for its event and its count.
+        find, event_of = HeadPlaces(list(head)).__getitem__, np.fromiter(map(events.__getitem__, head), np.int32, len(head))
+        count_of = np.append(np.fromiter(head.values(), float, len(head)), -1.0)
         logs = np.log10(np.arange(1, 4097))
         for batch in batches:
             texts = [tokens_of(t) for t in batch.column(1).to_pylist()]
-            stream, sizes = event_stream(texts, events)
+            sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+            place, last = np.full(sizes.sum(), -1, np.int64), np.cumsum(sizes) - 1
+            tails, at = [], 0
+            for t in texts:
+                mine = np.fromiter(map(find, t), np.int64, len(t))
+                place[at : at + len(t)] = mine
+                tails.append([t[i] for i in np.flatnonzero(mine < 0)])
+                at += len(t) + 1
+            stream = np.append(event_of, END)[place].astype(np.int32)
+            beyond = place < 0
+            beyond[last] = False
+            stream[beyond] = np.fromiter((events[w] for t in tails for w in t), np.int32, int(beyond.sum()))
+            c = count_of[place]
+            c[last] = ends
+            tails = [list(Counter(t).items()) if t else [] for t in tails]
             logp = model.log10_probabilities(stream, contexts(stream, sizes))
             of_class = stream > EVENT_WORDS
             logp[of_class] -= shares[stream[of_class] - 1 - EVENT_WORDS]
-            # Counts of head words; the others' are joined.
-            c = np.empty(len(stream))
-            at, tails = 0, []
-            for t in texts:
-                c[at : at + len(t)] = np.fromiter(map(find, t), float, len(t))
-                miss = np.flatnonzero(c[at : at + len(t)] < 0)
-                tails.append([] if not len(miss) else list(Counter([t[i] for i in miss]).items()))
-                at += len(t)
-                c[at] = ends
-                at += 1
             known, here = c > 0, c >= 0
             small = here & (c < 4096)
             log_c = np.zeros(len(c))
