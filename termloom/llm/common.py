@@ -61,8 +61,9 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str = "rank"
 
     Rows are range-sorted by group and order, so a group of any size spreads over
     partitions; each row's place in its partition plus the count of the group's
-    rows in earlier partitions is its rank. The table of offsets has at most one
-    row per partition and group border, so it is broadcast.
+    rows in earlier partitions is its rank. The table of offsets has one row per
+    partition and per group in it, and is broadcast: groups have to be few (none, or
+    shards, or hot keys), whatever their sizes.
 
     ``df`` should be cheap to read (range partitioning samples it first). Nulls sort first.
     """

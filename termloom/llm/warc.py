@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from termloom.llm.common import ranked, written
+from termloom.llm.common import HOT_SHARE, ranked, written
 
 SEGMENT_RECORDS = 512
 FANOUT = 8
@@ -71,7 +71,21 @@ def leaves(pages: DataFrame) -> DataFrame:
     )
     key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "url", F.col("nth").cast("string"))
     place = F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
-    return ranked(told, ["page_id", "url"], ["record_sha256"], "nth").withColumn("place", place)
+    return numbered(told).withColumn("place", place)
+
+
+def numbered(told: DataFrame) -> DataFrame:
+    """``told`` (page_id, url, record_sha256, ...) with nth, the record's number among those of its page_id and url.
+
+    Groups with more than HOT_SHARE of all records are few: they are told apart by broadcast
+    and ranked over all tasks; each other group is small enough for one window.
+    """
+    group = ["page_id", "url"]
+    sizes = told.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(sizes.where((F.col("n") > 1) & (F.col("n") > told.count() * HOT_SHARE)).select(F.col("page_id").alias("_p"), F.col("url").alias("_u")))
+    same = F.col("page_id").eqNullSafe(F.col("_p")) & (F.col("url") == F.col("_u"))
+    usual = told.join(hot, same, "left_anti").withColumn("nth", (F.row_number().over(W.partitionBy(*group).orderBy("record_sha256")) - 1).cast("long"))
+    return usual.unionByName(ranked(told.join(hot, same, "left_semi"), group, ["record_sha256"], "nth"))
 
 
 def ranges(leaf: DataFrame, digits: int, name: str) -> DataFrame:
