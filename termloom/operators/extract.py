@@ -134,16 +134,20 @@ def validate(docs: DataFrame, silver: DataFrame) -> DataFrame:
     return j.withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).select(*silver.columns)
 
 
-def locator(text: Column, clause: Column) -> Column:
-    """Where a clause stands: the first page that holds it and, there, the first line whose text is among the clause's first 48 characters.
+def page_index(text: Column) -> Column:
+    """A text's pages: number, collapsed text, and the lines that hold anything, collapsed, with their numbers. To be made once a document."""
+    lines = lambda p: F.filter(F.transform(T.split_lines(p), lambda x, i: F.struct(T.collapse(x).alias("t"), (i + 1).alias("n"))), lambda x: x["t"] != "")
+    return F.transform(F.split(text, "\u000c", -1), lambda p, i: F.struct((i + 1).alias("n"), T.collapse(p).alias("whole"), lines(p).alias("lines")))
+
+
+def locator(pages: Column, clause: Column) -> Column:
+    """Where a clause stands in a ``page_index``: the first page that holds it and, there, the first line whose text is among the clause's first 48 characters.
 
     Without such a line the page and the clause's digest; without a page, unresolved. White space is collapsed everywhere.
     """
     target = T.collapse(clause)
-    pages = F.transform(F.split(text, "\u000c", -1), lambda p, i: F.struct(p.alias("p"), (i + 1).alias("n")))
-    page = F.get(F.filter(pages, lambda x: F.contains(T.collapse(x["p"]), target)), F.lit(0))
-    lines = F.transform(T.split_lines(page["p"]), lambda x, i: F.struct(T.collapse(x).alias("t"), (i + 1).alias("n")))
-    line = F.get(F.filter(lines, lambda x: (x["t"] != "") & F.contains(F.substring(target, 1, 48), x["t"])), F.lit(0))
+    page = F.get(F.filter(pages, lambda x: F.contains(x["whole"], target)), F.lit(0))
+    line = F.get(F.filter(page["lines"], lambda x: F.contains(F.substring(target, 1, 48), x["t"])), F.lit(0))
     at = F.concat(F.lit("page="), page["n"].cast("string"), F.lit(";"))
     return F.when(page.isNull(), "document=all;locator_unresolved").when(line.isNotNull(), F.concat(at, F.lit("line="), line["n"].cast("string"))).otherwise(F.concat(at, F.lit("anchor_sha256="), F.substring(F.sha2(target, 256), 1, 16)))
 
@@ -156,14 +160,20 @@ def plausible(field: Column, value: Column) -> Column:
 
 def evidence_validated(docs: DataFrame, silver: DataFrame) -> DataFrame:
     """Silver rows confirmed where they are not found or their evidence supports them, and disputed otherwise."""
-    rows = silver.join(docs.select(F.col("doc_id").alias("_d"), "text"), F.col("doc_id") == F.col("_d")).withColumn("field", T.suffix(F.col("field_path"))).withColumn("value", F.col("normalized_value"))
+    rows = silver.join(folded_texts(docs), F.col("doc_id") == F.col("_d")).withColumn("field", T.suffix(F.col("field_path"))).withColumn("value", F.col("normalized_value"))
     ok = (F.col("value_type") == "not_found") | F.col("supported")
     return evidence_verdict(rows).withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).select(*silver.columns)
 
 
+def folded_texts(docs: DataFrame) -> DataFrame:
+    """_d, folded: each document's text as evidence is looked up in it; made once a document, not once a row."""
+    return docs.select(F.col("doc_id").alias("_d"), T.casefold(T.collapse(F.col("text"))).alias("folded"))
+
+
 def evidence_verdict(rows: DataFrame) -> DataFrame:
-    """Rows (raw_value, source_clause, text, field, value) with ``supported``: the clause stands in the text, the raw value in the clause, and the value is plausible."""
-    whole, clause, raw = (T.casefold(T.collapse(F.col(c))) for c in ("text", "source_clause", "raw_value"))
+    """Rows (raw_value, source_clause, folded, field, value) with ``supported``: the clause stands in the text, the raw value in the clause, and the value is plausible."""
+    whole = F.col("folded")
+    clause, raw = (T.casefold(T.collapse(F.col(c))) for c in ("source_clause", "raw_value"))
     field = F.col("field")
     word = lambda low: F.filter(F.regexp_extract_all(raw, F.lit("([a-z0-9]+)"), 1), lambda w: F.length(w) >= low)
     basis = F.regexp_extract_all(raw, F.lit("([a-z]{5,})"), 1)

@@ -140,9 +140,9 @@ def source_locator(spark: SparkSession, sf: str) -> DataFrame:
     """Where each clause of a schedule stands; some documents' clauses have been changed and stand nowhere."""
     d = FX.schedules(spark, sf)
     s = X.extract(d).where("value_type != 'not_found'").select("doc_id", "source_clause").distinct()
-    j = s.join(d.select(F.col("doc_id").alias("_d"), "custkey", "text"), F.col("doc_id") == F.col("_d"))
+    j = s.join(d.select(F.col("doc_id").alias("_d"), "custkey", X.page_index(F.col("text")).alias("pages")), F.col("doc_id") == F.col("_d"))
     j = j.withColumn("clause", F.when(F.col("custkey") % 10 == 3, F.concat("source_clause", F.lit(" none"))).otherwise(F.col("source_clause")))
-    return j.select("doc_id", "clause", X.locator(F.col("text"), F.col("clause")).alias("locator"))
+    return j.select("doc_id", "clause", X.locator(F.col("pages"), F.col("clause")).alias("locator"))
 
 
 # Extraction and validation
@@ -165,7 +165,7 @@ def evidence_validate(spark: SparkSession, sf: str) -> DataFrame:
     s = X.extract(d).where("value_type != 'not_found'").withColumn("field", T.suffix(F.col("field_path"))).withColumn("value", effective_value())
     i = T.group_index(F.col("field_path"), "eligibility")
     s = s.withColumn("raw_value", F.when(i % 3 == 1, "zzzq 98765").otherwise(F.col("raw_value"))).withColumn("source_clause", F.when(i % 5 == 4, F.concat("source_clause", F.lit(" zzzq 98765"))).otherwise(F.col("source_clause")))
-    return X.evidence_verdict(s.join(d.select(F.col("doc_id").alias("_d"), "text"), F.col("doc_id") == F.col("_d"))).select("extraction_id", "supported")
+    return X.evidence_verdict(s.join(X.folded_texts(d), F.col("doc_id") == F.col("_d"))).select("extraction_id", "supported")
 
 
 _ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
@@ -477,7 +477,7 @@ def golden_gates(spark: SparkSession, sf: str) -> DataFrame:
     return Q.release_gate(FX.expected_actual(spark, sf), F.col("id") % 2 == 0)
 
 
-_KPI = "count(*) AS n, count(*) FILTER (raw <> '') AS n_found, 0::BIGINT AS n_ambiguous, 0::BIGINT AS n_pending, count(*) FILTER (status = 'confirmed') AS n_confirmed, count(*) FILTER (status = 'disputed') AS n_disputed, 0::BIGINT AS n_corrected, count(*) FILTER (raw <> '') / count(*) AS completeness, round_even(avg(CASE WHEN raw <> '' THEN 0.99::DOUBLE ELSE 0 END), 4) AS mean_confidence"
+_KPI = "count(*) AS n, count(*) FILTER (raw <> '') AS n_found, 0::BIGINT AS n_ambiguous, 0::BIGINT AS n_pending, count(*) FILTER (status = 'confirmed') AS n_confirmed, count(*) FILTER (status = 'disputed') AS n_disputed, 0::BIGINT AS n_corrected, count(*) FILTER (raw <> '') / count(*) AS completeness, round_even(((sum(CASE WHEN raw <> '' THEN 0.99 ELSE 0 END)::DOUBLE / count(*))::VARCHAR)::DECIMAL(20,18), 4)::DOUBLE AS mean_confidence"
 
 
 @query(f"WITH {SILVER_SQL} SELECT {_KPI} FROM silver")

@@ -266,5 +266,5 @@ def test_requests_tasks_and_order(spark):
     sets = spark.createDataFrame([("b", None), (None, "z"), ("a", "y"), ("a", None)], "counterparty string, agreement_id string")
     assert [tuple(r) for r in platinum.ordered(sets).collect()] == [(None, "z"), ("a", None), ("a", "y"), ("b", None)]
     docs = spark.createDataFrame([("d", "e\nRated A\fx\nEligible assets of the first class, whatever they are and however long", "Eligible assets of the first class, whatever they are and however long"), ("d", "a\fb c", "b  c"), ("d", "a", "zz")], "doc_id string, text string, clause string")
-    got = [r.l for r in docs.select(extract.locator(F.col("text"), F.col("clause")).alias("l")).collect()]
+    got = [r.l for r in docs.select(extract.locator(extract.page_index(F.col("text")), F.col("clause")).alias("l")).collect()]
     assert got[0].startswith("page=2;anchor_sha256=") and got[1:] == ["page=2;line=1", "document=all;locator_unresolved"]
