@@ -11,21 +11,27 @@ hundreds of times does not make texts alike). Classes are the connected componen
 links; equal texts are one text from the start. A pair whose runs of five words, in
 order, reach 0.8 reaches it in words.
 
-A pair also needs MinHash bits that agree, which costs no text: 128 bits of labelled
-words that differ in at most 28 places (a link's differ in 13 on average, and in more
-than 28 once in 200,000), and 256 bits of distinct words that differ in at most 85
-(64 on average where just half are in common, and in more than 85 once in 1,000; 32 at
-three quarters).
-
 Pairs within a class are not listed. First one text leads each key of the first twelve
-functions and meets the key's other texts, which unites groups of copies at the cost of
-twelve rows a text. Then, in all keys that still hold several classes, every two texts of
-different classes meet, in the first such key that they share and in no other; so no two
-texts that share a key stay apart unless they were compared. In each key one class, most
-often the largest, is the main one, and only texts of the others begin a comparison. Keys
-of more than ``DEALT`` texts are dealt again by samples of the word bits, more of both the
-larger the key. Keys and classes that hold a large share of all rows are few, and are
-joined without a shuffle.
+functions and meets those of the key's other texts that are likely links, which unites
+groups of copies at the cost of twelve rows a text. Likely are those whose MinHash bits
+agree: 128 bits of labelled words that differ in at most 28 places, and 256 bits of
+distinct words that differ in at most 85. Then, in all keys that still hold several
+classes, every two texts of different classes meet, in the first such key that they share
+and in no other, whatever those bits say; so no two texts that share a key stay apart
+unless they were compared. In each key one class, most often the largest, is the main one,
+and only texts of the others begin a comparison.
+
+Pairs that cannot be links go before texts are read, by bounds that no link breaks: the
+shorter text has 0.8 of the longer one's words; the parities of word counts, in 1024 bins,
+differ in no more places than a link's texts have words that aren't in common, a ninth of
+all words at most; and those of distinct words, in 512 bins, in no more than a third of
+both texts' distinct words.
+
+Texts of keys of more than ``DEALT`` texts meet by their rare words instead: a link's texts
+have 0.8 of either's labelled words in common, so in any one order of all words they share
+one of the first fifth (and one more) of each. Rare words come first, so few texts meet.
+Keys and classes that hold a large share of all rows are few, and are joined without a
+shuffle.
 
 Defined cases: null and empty texts, and texts without a word, are classes of equal texts only; a
 text of one to four words is one unit; rows that repeat are in one class; a class's id
@@ -35,7 +41,7 @@ other columns are ignored by ``classes`` and pass through ``keep_one`` whatever
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,15 +67,21 @@ BITS = (128, 256)
 BITS_APART = (28, 85)
 #: Rounds of the word hash that fill the bits of short texts.
 BIT_ROUNDS = 64
-#: Keys of more texts than this are dealt again by word bits.
+#: Bins of a text's words, and of its distinct words, whose counts' parities are kept.
+BINS = (1024, 512)
+#: The texts of keys of more texts than this meet by their rare words.
 DEALT = 4096
+#: Bins in which labelled words are counted to tell rare ones.
+COUNT_BITS = 16
 #: Parts that a leader's comparisons are spread over.
 SALTS = 32
 #: Rows of the band that share one table of word places.
 BAND_ROWS = 16_384
 
 _BITS = [f"bits{k}" for k in range(sum(BITS) // 64)]
-_TEXT = ["digest", "n", *_BITS, "label"]
+_PARITIES = [f"parity{k}" for k in range(sum(BINS) // 64)]
+#: ``u``: distinct words.
+_SKETCH = [*_BITS, *_PARITIES, "u"]
 
 
 def _runs(h: np.ndarray, word_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +146,18 @@ def word_bits(marked: np.ndarray, owner: np.ndarray, texts: int, bits: int) -> n
     return np.packbits(bit.reshape(texts, bits), axis=1).view(np.uint64).reshape(texts, bits // 64)
 
 
+def parities(h: np.ndarray, owner: np.ndarray, texts: int, bins: int) -> np.ndarray:
+    """Whether each text's words (hashes) in each of so many bins are odd in number (texts x 64 bins of each).
+
+    A word that two texts don't have in common changes one bin, so their parities differ in no more places than they have such words.
+    """
+    at = owner * bins + (h >> np.uint64(64 - bins.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=texts * bins) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(texts, bins), axis=1).view(np.uint64).reshape(texts, bins // 64)
+
+
 def sketches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (texts x FUNCTIONS), word counts, and word bits (texts x 6: labelled, distinct); keys of texts without words mean nothing."""
+    """Keys (texts x FUNCTIONS), word counts, and word bits, parities and distinct words (texts x 31: bits of labelled and of distinct words, parities of both, number); keys of texts without words mean nothing."""
     w = words_of(texts)
     h, words = w.hashes(), np.diff(w.first)
     units, first = _runs(h, w.first)
@@ -143,7 +165,7 @@ def sketches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     keys = np.zeros((len(texts), FUNCTIONS), np.uint64)
     has = np.flatnonzero(n > 0)
     if not len(has):
-        return keys, words, np.zeros((len(texts), len(_BITS)), np.uint64)
+        return keys, words, np.zeros((len(texts), len(_SKETCH)), np.uint64)
     marked, _ = labelled(units, first)
     starts, place = first[has], np.arange(len(units), dtype=np.uint64) - np.repeat(first[:-1], n).astype(np.uint64)
     low = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
@@ -168,7 +190,9 @@ def sketches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
                 code = mixed(code * BASE + unit)
             keys[has, e] = code
     each, once = labelled(h, w.first)
-    return keys, words, np.hstack([word_bits(each, w.owner, len(texts), BITS[0]), word_bits(h[once], w.owner[once], len(texts), BITS[1])])
+    bits = [word_bits(each, w.owner, len(texts), BITS[0]), word_bits(h[once], w.owner[once], len(texts), BITS[1])]
+    odd = [parities(h, w.owner, len(texts), BINS[0]), parities(h[once], w.owner[once], len(texts), BINS[1])]
+    return keys, words, np.hstack([*bits, *odd, np.bincount(w.owner[once], minlength=len(texts)).astype(np.uint64)[:, None]])
 
 
 def _places(words: np.ndarray, wanted: set[int]) -> dict[int, int]:
@@ -256,7 +280,7 @@ def text_digest(text_col: str) -> Column:
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
-    """digest, n words, keys and word bits of each row of ``texts`` (digest, body)."""
+    """digest, n words, keys, word bits, parities and distinct words of each row of ``texts`` (digest, body)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,9 +288,9 @@ def _sketched(texts: DataFrame) -> DataFrame:
             for a, b in slabs(bodies, 200_000):
                 keys, n, bits = sketches(bodies[a:b])
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * FUNCTIONS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), flat, *(pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(len(_BITS)))], ["digest", "n", "keys", *_BITS])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), flat, *(pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(len(_SKETCH)))], ["digest", "n", "keys", *_SKETCH])
 
-    return texts.mapInArrow(rows, "digest binary, n long, keys array<long>, " + ", ".join(f"{x} long" for x in _BITS))
+    return texts.mapInArrow(rows, "digest binary, n long, keys array<long>, " + ", ".join(f"{x} long" for x in _SKETCH))
 
 
 def _with_words(texts: DataFrame) -> DataFrame:
@@ -333,64 +357,105 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots.select("node", F.col("node").alias("label")))
 
 
+def _apart(bits: list[str]) -> Column:
+    """Places in which the bits of a text and of its leader (as ``_as_leader`` names them) differ."""
+    return sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"a_{x}"))) for x in bits), F.lit(0))
+
+
 def _may_link(least: float) -> Column:
-    """The filter of a pair, a leader (as ``_as_leader`` names it) and a text."""
-    apart = [F.bit_count(F.col(x).bitwiseXOR(F.col(f"a_{x}"))) for x in _BITS]
+    """The filter of a pair, a leader and a text: true of every link of two classes."""
+    words_ = BINS[0] // 64
+    few = (_apart(_PARITIES[:words_]) <= (1 - least) / (1 + least) * (F.col("n") + F.col("na")) + 1e-6) & (_apart(_PARITIES[words_:]) <= (1 - DISTINCT) / (1 + DISTINCT) * (F.col("u") + F.col("a_u")) + 1e-6)
+    return (F.col("la") != F.col("label")) & (F.least("n", "na") >= least * F.greatest("n", "na")) & few
+
+
+def _likely(least: float) -> Column:
+    """A filter of pairs that are compared first; others meet again in ``_cross``."""
     labelled_ = BITS[0] // 64
-    alike = (sum(apart[:labelled_], F.lit(0)) <= BITS_APART[0]) & (sum(apart[labelled_:], F.lit(0)) <= BITS_APART[1])
-    return (F.col("la") != F.col("label")) & (F.least("n", "na") >= least * F.greatest("n", "na")) & alike
+    return (F.least("n", "na") >= least * F.greatest("n", "na")) & (_apart(_BITS[:labelled_]) <= BITS_APART[0]) & (_apart(_BITS[labelled_:]) <= BITS_APART[1])
 
 
-def _as_leader(x: str) -> list[Column]:
-    return [F.col(f"{x}.digest").alias("a"), F.col(f"{x}.n").alias("na"), *(F.col(f"{x}.{y}").alias(f"a_{y}") for y in _BITS), F.col(f"{x}.label").alias("la")]
+def _as_leader(x: str, bits: list[str]) -> list[Column]:
+    return [F.col(f"{x}.digest").alias("a"), F.col(f"{x}.n").alias("na"), *(F.col(f"{x}.{y}").alias(f"a_{y}") for y in bits)]
 
 
 def _stars(rows: DataFrame, sketched: DataFrame, n_rows: int, least: float) -> DataFrame:
-    """a < b: each key's least text with the key's other texts that may be links, of rows (key, digest)."""
+    """a < b: each key's least text with the key's other texts that are likely links, of rows (key, digest)."""
     groups = rows.groupBy("key").agg(F.min("digest").alias("a"), F.max("digest").alias("hi"), F.count(F.lit(1)).alias("size")).where("a != hi").select("key", "size", "a")
     met = spread_join(rows, written(groups, "near-leaders"), "key", "size", n_rows).where("a != digest").select("a", "digest").distinct()
-    return _marked(met, sketched).where(_may_link(least)).select("a", F.col("digest").alias("b"))
+    lead = sketched.select(F.struct("digest", "n", *_BITS).alias("x")).select(*_as_leader("x", _BITS))
+    return met.join(lead, "a").join(sketched.select("digest", "n", *_BITS), "digest").where(_likely(least)).select("a", F.col("digest").alias("b"))
+
 
+def rare_first(marked: np.ndarray, first: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text's labelled words (hashes) those that a link must share one of, and each text's first of them.
 
-def _marked(met: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs (a, digest) with both texts' word counts, bits and labels."""
-    lead = sketched.select(F.struct(*_TEXT).alias("x")).select(*_as_leader("x"))
-    return met.join(lead, "a").join(sketched.select(*_TEXT), "digest")
+    Words are in order of their bins' counts, then of their hashes. A link shares ``least`` of
+    either text's n words, so the first one shared is among the first n - ``least`` n + 1 of both.
+    """
+    n = np.diff(first)
+    owner = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((marked, counts[marked >> np.uint64(64 - COUNT_BITS)], owner))
+    taken = np.where(n > 0, n - np.ceil(least * n - 1e-9).astype(np.int64) + 1, 0)
+    kept = np.arange(len(marked)) - np.repeat(first[:-1], n) < np.repeat(taken, n)
+    return marked[order][kept], np.append(0, np.cumsum(taken))
 
 
-def _dealt(key: Column) -> Column:
-    """The keys that stand for a text's ``key`` (key, size, minor): itself, or where it has more than DEALT texts, samples of the text's word bits with it.
+def _rare_words(texts: DataFrame, least: float) -> DataFrame:
+    """digest and the rare words (``rare_first``) of each row of ``texts`` (digest, body)."""
 
-    Bits of texts that aren't links agree in about 7 of 10 places at most over labelled and
-    distinct words, those of links in 17 of 20 on average: so many places are taken that a key's
-    part is expected to hold DEALT texts, and so many samples that a link agrees in one of
-    them in 99 of 100 cases.
-    """
-    taken = F.ceil(F.log(key["size"] / F.lit(float(DEALT))) / F.lit(float(np.log(1 / 0.7)))).cast("int")
-    samples = F.ceil(F.lit(float(np.log(0.01))) / F.log(1 - F.pow(F.lit(0.85), taken))).cast("int")
-    words_ = F.array(*_BITS)
+    def labelled_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            bodies = batch.column(1).to_pylist()
+            for a, b in slabs(bodies):
+                w = words_of(bodies[a:b])
+                yield batch.column(0).slice(a, b - a), labelled(w.hashes(), w.first)[0], w.first
 
-    def sampled(sample: Column) -> Column:
-        def bit(j: Column) -> Column:
-            place = F.pmod(F.xxhash64(sample, j), F.lit(64 * len(_BITS))).cast("int")
-            return F.getbit(F.get(words_, (place / 64).cast("int")), place % 64)
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << COUNT_BITS, np.int64)
+        for _, marked, _ in labelled_words(batches):
+            held += np.bincount(marked >> np.uint64(64 - COUNT_BITS), minlength=len(held))
+        there = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(held[there])], ["bin", "n"])
 
-        return F.struct(F.xxhash64(key["key"], sample, F.transform(F.sequence(F.lit(1), taken), bit)).alias("key"), key["minor"].alias("minor"))
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for r in texts.mapInArrow(counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        counts[r["bin"]] = r["n"]
 
-    return F.when(key["size"] <= DEALT, F.array(F.struct(key["key"].alias("key"), key["minor"].alias("minor")))).otherwise(F.transform(F.sequence(F.lit(1), samples), sampled))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for digests, marked, first in labelled_words(batches):
+            rare, at = rare_first(marked, first, counts, least)
+            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(rare.view(np.int64)))], ["digest", "keys"])
+
+    return texts.mapInArrow(rows, "digest binary, keys array<long>")
 
 
-def _cross(named: DataFrame, least: float, n_rows: int) -> DataFrame:
-    """a < b: the texts of ``named`` (_TEXT, keys) that share a key, have different labels and may be links, each pair once."""
-    every = named.select(F.explode("keys").alias("key"), "digest", "label")
+def _in_open_keys(every: DataFrame, n_rows: int) -> DataFrame:
+    """Rows (key, digest, label) of the keys that hold several classes, with the key's size and whether the class isn't the main one (minor)."""
     mark = F.xxhash64("label")
     open_ = every.groupBy("key").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.count(F.lit(1)).alias("size"), F.min_by("label", "digest").alias("main")).where("lo != hi")
     rows = spread_join(every, written(open_.select("key", "size", "main"), "near-open"), "key", "size", n_rows)
-    # One row a text is joined with its word bits; its keys are rows again only then.
-    at = rows.groupBy("digest").agg(F.collect_list(F.struct("key", "size", (F.col("label") != F.col("main")).alias("minor"))).alias("at"))
-    texts = at.join(named.select(*_TEXT), "digest").withColumn("at", F.flatten(F.transform("at", _dealt)))
-    live = written(texts.withColumn("in_keys", F.transform("at", lambda x: x["key"])), "near-live").select(F.explode("at").alias("k"), "in_keys", *_TEXT).select("k.key", "k.minor", "in_keys", *_TEXT)
-    lead = live.where("minor").select("key", F.col("in_keys").alias("a_keys"), F.struct(*_TEXT).alias("x")).select("key", "a_keys", *_as_leader("x"))
+    return rows.select("digest", "key", "size", (F.col("label") != F.col("main")).alias("minor"))
+
+
+def _cross(named: DataFrame, bodies: Callable[[DataFrame], DataFrame], least: float, n_rows: int) -> DataFrame:
+    """a < b: the texts of ``named`` (digest, n, label, keys, parities, u) that share a key, have different labels and may be links, each pair once.
+
+    ``bodies`` gives the texts (digest, body) of digests.
+    """
+    rows = written(_in_open_keys(named.select(F.explode("keys").alias("key"), "digest", "label"), n_rows), "near-in-keys")
+    large = rows.where(F.col("size") > DEALT).select("digest").distinct()
+    rows = rows.where(F.col("size") <= DEALT)
+    if not large.isEmpty():
+        rare = written(_rare_words(bodies(large), least).dropDuplicates(["digest"]), "near-rare")
+        every = rare.select(F.explode("keys").alias("key"), "digest").join(named.select("digest", "label"), "digest")
+        rows = rows.unionByName(_in_open_keys(every, rare.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("n")).first()["n"]))
+    # One row a text is joined with its parities; its keys are rows again only then.
+    text = ["digest", "n", "label", *_PARITIES, "u"]
+    at = rows.groupBy("digest").agg(F.collect_list(F.struct("key", "minor")).alias("at"))
+    texts = at.join(named.select(*text), "digest")
+    live = written(texts.withColumn("in_keys", F.transform("at", lambda x: x["key"])), "near-live").select(F.explode("at").alias("k"), "in_keys", *text).select("k.key", "k.minor", "in_keys", *text)
+    lead = live.where("minor").select("key", F.col("in_keys").alias("a_keys"), F.struct(*text).alias("x")).select("key", "a_keys", F.col("x.label").alias("la"), *_as_leader("x", [*_PARITIES, "u"]))
     once = F.col("key") == F.array_min(F.array_intersect("a_keys", "in_keys"))
     return live.join(lead, "key").where(_may_link(least) & once).select(F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b")).distinct()
 
@@ -406,20 +471,21 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     sketched = written(_sketched(keyed.select("digest", "body")).where("n > 0").dropDuplicates(["digest"]), "near-sketches")
     n_texts = sketched.count()
 
+    def bodies(wanted: DataFrame) -> DataFrame:
+        # Each text that is wanted once, whoever holds it.
+        one = members.join(wanted, "digest").select(F.col("digest").alias("d"), F.col("id").alias("i"))
+        return keyed.join(one, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_semi").select("digest", "body")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        # Each text that a pair names once, whoever holds it.
         wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
-        one = members.join(wanted, "digest").select(F.col("digest").alias("d"), F.col("id").alias("i"))
-        found = keyed.join(one, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
-        pool = written(_with_words(found.select("digest", "body")).dropDuplicates(["digest"]), "near-words")
+        pool = written(_with_words(bodies(wanted)).dropDuplicates(["digest"]), "near-words")
         return written(_links(pairs, pool, least), "near-links")
 
     relabel = lambda x, label: x.join(label.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    alone = sketched.withColumn("label", F.col("digest"))
-    stars = written(_stars(alone.select(F.explode(F.slice("keys", 1, FIRST_FUNCTIONS)).alias("key"), "digest"), alone, n_texts * FIRST_FUNCTIONS, least), "near-pairs")
+    stars = written(_stars(sketched.select(F.explode(F.slice("keys", 1, FIRST_FUNCTIONS)).alias("key"), "digest"), sketched, n_texts * FIRST_FUNCTIONS, least), "near-pairs")
     links = verified(stars)
     label = written(components(links), "near-labels")
-    cross = _cross(written(relabel(sketched, label), "near-named"), least, n_texts * FUNCTIONS)
+    cross = _cross(written(relabel(sketched.drop(*_BITS), label), "near-named"), bodies, least, n_texts * FUNCTIONS)
     more = verified(written(cross.join(stars, ["a", "b"], "left_anti"), "near-pairs"))
     # The classes so far are stars; the new links join them.
     label = written(components(more.select("a", "b").unionByName(label.where("node != label").select(F.col("node").alias("a"), F.col("label").alias("b")))), "near-labels")

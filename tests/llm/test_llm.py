@@ -780,6 +780,55 @@ def test_op9_large_keys_are_dealt_again(spark, monkeypatch):
     assert got == Counter((d, d % 100) for d, _ in rows) == plain_classes(rows)
 
 
+def links_of_many_kinds(seed):
+    """Pairs of texts that share a passage with all others: few words changed, or so many that just half of the distinct words stay."""
+    rng, rows = random.Random(seed), []
+    shared, said = " ".join(f"s{k}" for k in range(70)), " ".join(["so it"] * 120)
+    for i in range(40):
+        own = [f"t{i}w{rng.randint(0, 10**6)}" for _ in range(40)]
+        changed = [f"c{i}x{k}" if k % (9 if i % 2 else 4) == 0 else x for k, x in enumerate(own)]
+        for d, w in ((i, own), (100 + i, changed)):
+            rows.append((d, (shared if i % 2 else said) + " " + " ".join(w)))
+    return rows
+
+
+def test_op9_finds_links_whose_word_bits_differ(spark, monkeypatch):
+    """MinHash bits only choose what is compared first: no pair passes them here, and no link is lost."""
+    monkeypatch.setattr(neardup, "BITS_APART", (-1, -1))
+    rows = links_of_many_kinds(8)
+    want = plain_classes(rows)
+    assert want == Counter((d, d % 100) for d, _ in rows)
+    assert Counter((r.doc_id, r.class_id) for r in neardup.op9_query(table(spark, rows)).collect()) == want
+    # In large keys too.
+    monkeypatch.setattr(neardup, "DEALT", 1)
+    assert Counter((r.doc_id, r.class_id) for r in neardup.op9_query(table(spark, rows)).collect()) == want
+
+
+def test_op9_bounds_hold_for_every_link():
+    """Parities and rare words of random links, many of them at the threshold."""
+    rng, total = random.Random(31), 0
+    for _ in range(400):
+        n = rng.choice((1, 2, 4, 5, 9, 10, 30, 100, 400))
+        a = [f"w{rng.randint(0, n)}" for _ in range(n)]
+        b = a[:]
+        for _ in range(rng.randint(0, n // 8 + 1)):
+            k = rng.randrange(len(b)) if b else 0
+            b[k : k + 1] = rng.choice([[], [f"x{rng.randint(0, 9**9)}"], ["w1", f"y{rng.randint(0, 9**9)}"]])
+        w = words_of([" ".join(a), " ".join(b)])
+        h = w.hashes()
+        if not neardup.similarity(h[: len(a)], h[len(a) :]):
+            continue
+        total += 1
+        bits = neardup.sketches([" ".join(a), " ".join(b)])[2]
+        apart = [int(x).bit_count() for x in bits[0] ^ bits[1]]
+        assert 9 * sum(apart[6:22]) <= len(a) + len(b) and 3 * sum(apart[22:30]) <= len(set(a)) + len(set(b))
+        assert [int(x) for x in bits[:, 30]] == [len(set(a)), len(set(b))]
+        counts = np.random.default_rng(total).integers(0, 4, 1 << neardup.COUNT_BITS)
+        rare, first = neardup.rare_first(neardup.labelled(h, w.first)[0], w.first, counts, 0.8)
+        assert len(rare) == first[-1] and set(rare[: first[1]].tolist()) & set(rare[first[1] :].tolist()), (a, b)
+    assert total >= 150
+
+
 def test_op9_components(spark):
     rng = random.Random(1)
     pairs = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(110)] + [(i, i + 1) for i in range(200, 240)]
