@@ -48,7 +48,7 @@ def published(spark: SparkSession, sf: str) -> DataFrame:
     line = F.concat(F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("Bonds "), F.col("p_type"), F.lit("\nwith maturities\n"))).otherwise(""), told, F.lit(" "), (F.col("p_size") % 30).cast("string"), F.lit("%"))
 
     def table(profile: str, key: str, first: str, last: str) -> DataFrame:
-        lines = p.groupBy(F.col(key).alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("l")))), lambda x: x["l"]), "\n").alias("lines"))
+        lines = p.groupBy(F.col(key).alias("k")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", line.alias("l")))), lambda x: x["l"]), "\n").alias("lines"))
         head = f"{said(profile)}\nEFFECTIVE DATE: March 1, 2024\n{first}\n"
         return lines.select(F.concat(F.lit(f"{profile}-"), "k").alias("doc_id"), F.concat(F.lit(head), "lines", F.lit(f"\n{last} 9%")).alias("text"), F.lit(profile).alias("profile"))
 

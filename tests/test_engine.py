@@ -288,3 +288,23 @@ def test_groups_held_makes_no_rows(spark):
     assert sorted(map(tuple, gold.groups_held(extract.first_paths(docs)).collect())) == want
     plan = queries.QUERIES["groups_held"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "posexplode" not in plan and "rlike" in plan.lower()
+
+
+def test_evidence_is_looked_up_once_a_document(spark):
+    """Verdicts are those of rows that stand beside their texts, and no row carries a text."""
+    text = "Eligible  Things\r\nBonds of the State 5%\nrated AA / Aa2 or\nmore Straße\n"
+    docs = spark.createDataFrame([("a", text), ("b", "Nothing here\nBonds 5%"), ("c", None), ("e", "")], "doc_id string, text string")
+    fields = ["asset_criterion", "eligible", "haircut_pct", "rating_floor", "concentration_basis", "valid_from", "counterparty"]
+    clauses = ["bonds of  the state 5%", "Eligible Things Bonds of", "Bonds 5%", "more STRASSE", "nowhere", "", None]
+    raws = [("5%", "5"), ("AA / Aa2", "true"), ("AA / Aa3", "150"), ("", "x"), ("Bonds State", "2024-01-01"), (None, None)]
+    rows = [(d, f"eligibility[0].{f}", r, v, k, c, "pending") for d in "abcez" for f in fields for c in clauses for r, v in raws for k in ("string", "not_found")]
+    silver = spark.createDataFrame(rows, "doc_id string, field_path string, raw_value string, normalized_value string, value_type string, source_clause string, validator_status string")
+    beside = silver.join(extract.folded_texts(docs), F.col("doc_id") == F.col("_d")).withColumn("field", F.substring_index("field_path", ".", -1)).withColumn("value", F.col("normalized_value"))
+    ok = (F.col("value_type") == "not_found") | F.col("supported")
+    want = extract.evidence_verdict(beside).withColumn("validator_status", F.when(ok, "confirmed").otherwise("disputed")).select(*silver.columns)
+    got = extract.evidence_validated(docs, silver)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    found = got.where("value_type = 'string'")
+    assert 0 < found.where("validator_status = 'confirmed'").count() < found.count()
+    marked = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in marked.splitlines() if "folded" in x and "raw_value" in x]
