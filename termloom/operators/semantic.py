@@ -360,10 +360,12 @@ def extractions(answers: DataFrame, docs: DataFrame, extractor_version: str) ->
         F.when(stands, clause).otherwise(mended).alias("source_clause"), place.alias("source_locator"), F.get_json_object(j, "$.confidence").try_cast("double").alias("confidence"),
         (F.get_json_object(j, "$.ambiguity_flag") == "true").alias("ambiguity_flag"), F.get_json_object(j, "$.ambiguity_note").alias("ambiguity_note"),
     )
-    twice = told.where("error is null").groupBy("doc_id", "field_path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", F.lit("duplicate_path").alias("error")).distinct()
-    wrong = told.where("error is not null").select("doc_id", "error").distinct()
-    errors = empty.unionByName(wrong).unionByName(twice).distinct()
-    good = told.join(errors.select("doc_id").distinct(), "doc_id", "left_anti").drop("error")
+    # Rows meet their document's other rows in windows, so they are parsed once for what is good and once for what isn't.
+    again = F.count(F.when(F.col("error").isNull(), 1)).over(W.partitionBy("doc_id", "field_path")) > 1
+    marked = told.withColumn("_again", again).withColumn("_error", F.coalesce("error", F.when(F.col("_again"), "duplicate_path")))
+    marked = marked.withColumn("_bad", F.max(F.col("_error").isNotNull()).over(W.partitionBy("doc_id")))
+    errors = empty.unionByName(marked.where("_error is not null").select("doc_id", F.col("_error").alias("error"))).distinct()
+    good = marked.where("not _bad").join(empty.select("doc_id").distinct(), "doc_id", "left_anti").drop("error", "_again", "_error", "_bad")
     ids = F.substring(F.sha2(F.concat_ws("|", "doc_id", "field_path", "extractor_version"), 256), 1, 32)
     return good.withColumn("extraction_id", ids).withColumn("validator_status", F.lit("pending")).withColumn("corrected_value", F.lit(None).cast("string")).withColumn("corrected_by", F.lit(None).cast("string")), errors
 

@@ -202,3 +202,11 @@ def test_tables_keep_their_rules(spark):
     rows = spark.createDataFrame([("a", "landed", dt.datetime(2026, 1, 1), None), ("b", "lost", dt.datetime(2026, 1, 1), None), (None, "landed", dt.datetime(2026, 1, 1), None)], TABLES["workflow_tasks"][0])
     good, bad = split_valid(rows, table_rules("workflow_tasks"))
     assert [r.doc_id for r in good.collect()] == ["a"] and sorted(r.rule for r in bad.collect()) == ["missing:doc_id", "valid_task_status"]
+
+
+def test_answers_are_parsed_once_for_rows(spark):
+    """Silver rows come from one parse of the answers' items; another is only for answers without any."""
+    from termloom.plans import queries
+
+    plan = queries.QUERIES["semantic_extractions"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode(list") == 1
