@@ -327,3 +327,18 @@ def test_asked_rows_are_those_of_extraction(spark):
     want = sorted(r[0] for r in extract.extract(docs).select("extraction_id").collect())
     assert len(want) == 14 * 5
     assert sorted(r[0] for r in extract.asked_rows(docs).select(F.explode("asked")).collect()) == want
+
+
+def test_evidence_of_items_is_that_of_rows(spark):
+    """Fields whose clauses are asked for once an asset line have the verdicts of rows that stand beside their texts."""
+    text = "Eligible  Things\r\nCounterparty: Straße 5 \nMargin Type: vm\nAsset: Bonds | Eligible: perhaps | Haircut: 150% | Rating Floor: AA\nAsset: Bills | Eligible: yes | Haircut: 5% | Concentration Basis: Market value | Rating Floor: A-\n"
+    docs = spark.createDataFrame([("a", text), ("b", "Asset: only | Haircut: x\nnothing else"), ("c", None), ("d", "none")], "doc_id string, text string").withColumn("folded", extract.folded(F.col("text")))
+    change = lambda f: F.struct(f["suffix"].alias("suffix"), F.when(f["suffix"] == "asset_criterion", F.concat(f["raw_value"], F.lit(" zz"))).when((f["suffix"] == "rating_floor") & (F.col("idx") == 1), "A- qq").otherwise(f["raw_value"]).alias("raw_value"), f["normalized_value"].alias("normalized_value"), f["value_type"].alias("value_type"), F.when(f["suffix"] == "margin_type", F.concat(f["source_clause"], F.lit(" zz"))).when(f["suffix"] == "counterparty", F.concat(F.lit("  "), F.upper(f["source_clause"]))).otherwise(f["source_clause"]).alias("source_clause"))
+    items = extract.items(docs, ("folded",), second=False).withColumn("fields", F.transform("fields", change))
+    rows = items.select("doc_id", "idx", F.explode("fields").alias("f")).select("doc_id", "idx", "f.*").where("value_type != 'not_found'").withColumn("field", F.col("suffix")).withColumn("value", F.col("normalized_value"))
+    beside = extract.evidence_verdict(rows.join(docs.select("doc_id", "folded"), "doc_id"))
+    want = sorted(map(tuple, beside.select("doc_id", "idx", "field", "supported").collect()))
+    got = extract.evidence_of_items(items)
+    assert sorted(map(tuple, got.collect())) == want
+    assert {x[3] for x in want} == {True, False} and len(want) == 15
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
